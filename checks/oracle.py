@@ -520,6 +520,172 @@ DELETES = {
 }
 
 
+# What every script template holds: (sql type, class, text, target, sources) per statement.
+# Names are SQL expressions over the template parameters a and b.
+M_A, TV_A, DW_A = "'m.t' || a", "'tv' || a", "'${DW}.t' || a"
+S_B, D_A, U_A, STG_B = "'ods.s' || b", "'ods.d' || a", "'ods.u' || a", "'stg.s' || b"
+
+TEMPLATES = {
+    0: [("INSERT", "C", f"'INSERT INTO ' || {DW_A} || ' SELECT x.c FROM ' || {S_B} || ' x JOIN ' || {D_A} || ' y ON x.k = y.k;'",
+         DW_A, [S_B, D_A])],
+    1: [("INSERT", "C", f"'INSERT OVERWRITE TABLE ' || {M_A} || ' WITH c1 AS (SELECT * FROM ' || {S_B} || "
+         "'), c2 AS (SELECT * FROM c1) SELECT * FROM c2;'", M_A, [S_B])],
+    2: [("MERGE", "C", f"'MERGE INTO ' || {M_A} || ' t USING ' || {STG_B} || ' s ON t.k = s.k WHEN MATCHED THEN UPDATE "
+         "SET t.c = s.c WHEN NOT MATCHED THEN INSERT (k) VALUES (s.k);'", M_A, [STG_B])],
+    3: [("UPDATE", "U", f"'UPDATE ' || {M_A} || ' SET c = (SELECT max(x) FROM ' || {S_B} || ' q WHERE q.k = 1) "
+         f"WHERE k IN (SELECT k FROM ' || {U_A} || ');'", M_A, [S_B, U_A])],
+    4: [("DELETE", "D", f"'DELETE FROM ' || {M_A} || ' WHERE k IN (SELECT k FROM ' || {S_B} || ');'", M_A, [M_A, S_B])],
+    5: [("CREATE", "C", f"'CREATE TEMPORARY VIEW ' || {TV_A} || ' AS SELECT * FROM ' || {S_B} || ', ' || {D_A} || ';'",
+         TV_A, [S_B, D_A]),
+        ("INSERT", "C", f"'INSERT INTO ' || {M_A} || ' SELECT * FROM ' || {TV_A} || ';'", M_A, [TV_A])],
+    6: [("TRUNCATE", "D", f"'TRUNCATE TABLE ' || {M_A} || ';'", M_A, []),
+        ("DROP", "D", "'DROP TABLE IF EXISTS m.o' || b || ';'", "'m.o' || b", [])],
+    7: [("SELECT", "R", f"'SELECT count(*) FROM (SELECT * FROM ' || {S_B} || ' WHERE n = ''FROM fake; x'') q LEFT JOIN ' "
+         f"|| {D_A} || ' z ON q.k = z.k;'", None, [S_B, D_A])],
+    8: [("INSERT", "C", f"'INSERT INTO ' || {M_A} || ' SELECT * FROM ' || {S_B}", M_A, [S_B])],
+    9: [("INSERT", "C", f"'INSERT INTO ' || {M_A} || ' SELECT * FROM ' || {S_B} || ';'", M_A, [S_B])],
+}
+
+SCRIPTS = """
+s AS (SELECT *, base_directory || '/' || file_name AS dir_file FROM (
+    SELECT doc_id % 12 AS t, CAST(doc_id % 17 AS VARCHAR) AS a, CAST(doc_id % 23 AS VARCHAR) AS b, text,
+           '/corpus/d' || CAST(doc_id % 10 AS VARCHAR) AS base_directory,
+           'f' || CAST(doc_id AS VARCHAR) || '.' || ['sql', 'hql', 'SQL', 'uld', 'ld', 'sh'][CAST(doc_id % 6 AS INT) + 1]
+               AS file_name
+    FROM documents WHERE doc_id % 24 <> 11))"""
+
+
+def _statements() -> str:
+    parts = []
+    for t, found in TEMPLATES.items():
+        for number, (kind, crud, text, _, _) in enumerate(found, 1):
+            parts.append(
+                f"SELECT base_directory, file_name, dir_file, CAST({number} AS INT) AS stmt_no, '{kind}' AS sql_type, "
+                f"'{crud}' AS crud_type, {text} AS query_text FROM s WHERE t = {t}"
+            )
+    return f"WITH {SCRIPTS}, q AS (" + "\nUNION ALL ".join(parts) + ")"
+
+
+def _pairs(detail: bool) -> str:
+    parts = []
+
+    def add(t, number, kind, crud, source, target, depth):
+        parts.append(
+            f"SELECT base_directory, file_name, dir_file, a, CAST({number} AS INT) AS stmt_no, '{kind}' AS sql_type, "
+            f"'{crud}' AS crud_type, {source} AS source, {target} AS target, CAST({depth} AS INT) AS depth "
+            f"FROM s WHERE t = {t}"
+        )
+
+    for t, found in TEMPLATES.items():
+        for number, (kind, crud, _, target, sources) in enumerate(found, 1):
+            for source in sources or ["''"]:
+                add(t, number, kind, crud, source, target or "''", 1)
+    if detail:
+        for source, target, depth in (
+            (S_B, "'C1'", 1), ("'c1'", "'C2'", 2), ("'c1'", M_A, 2), ("'c2'", M_A, 3)
+        ):
+            add(1, 1, "INSERT", "C", source, target, depth)
+    return f"WITH {SCRIPTS}, e AS (" + "\nUNION ALL ".join(parts) + ")"
+
+
+def _kind(name: str) -> str:
+    return (
+        f"CASE WHEN {name} = '' THEN '' WHEN lower({name}) IN ('c1', 'c2') THEN 'CTE' "
+        f"WHEN {name} LIKE 'tv%' THEN 'TEMP' ELSE 'TABLE' END"
+    )
+
+
+def _schema(name: str) -> str:
+    return (
+        f"CASE WHEN {name} LIKE '${{DW}}.%' THEN 'dwh' WHEN contains({name}, '.') THEN split_part({name}, '.', 1) "
+        "ELSE '' END"
+    )
+
+
+def _table(name: str) -> str:
+    return f"CASE WHEN contains({name}, '.') THEN split_part({name}, '.', 2) ELSE {name} END"
+
+
+def _lineage(detail: bool) -> str:
+    return f"""{_pairs(detail)}
+    SELECT '20240131_000000' AS run_id, base_directory, file_name, dir_file, crud_type, sql_type,
+           source AS source_table, {_kind('source')} AS source_type, target AS target_table,
+           {_kind('target')} AS target_type, depth, {_schema('source')} AS src_schema, {_table('source')} AS src_table,
+           {_schema('target')} AS tgt_schema, {_table('target')} AS tgt_table, {LOG_AS_OF} AS op_dtm
+    FROM e"""
+
+
+# The same white space as on the other side; RE2 writes code points in braces.
+RE2_WHITE = (
+    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+
+
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, '^[{RE2_WHITE}]+|[{RE2_WHITE}]+$', '', 'g')"
+
+
+SCRIPT_LINES = """
+l AS (
+    SELECT base_directory, file_name, dir_file, '-- ' || unnest(string_split(text, chr(10))) AS line FROM s
+    UNION ALL
+    SELECT base_directory, file_name, dir_file,
+           unnest(['EMRPUT job' || a, '  EMRPUTF job' || b || '  ', 'col DEFAULT 0', '-- KEY_MST note', 'emrput lower'])
+    FROM s WHERE t = 11)"""
+
+LINEAGE = {
+    "l02_keyword_lines": f"""
+        WITH {SCRIPTS}, {SCRIPT_LINES}
+        SELECT base_directory, file_name, dir_file, keyword, {_strip('line')} AS line
+        FROM l JOIN (SELECT unnest(['default', 'key_mst']) AS keyword) k ON contains(lower(line), keyword)""",
+    "l02_keyword_documents": f"""
+        SELECT doc_id, 'thing' AS keyword, {_strip('line')} AS line
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+        WHERE contains(lower(line), 'thing')""",
+    "l03_emrput_lines": f"""
+        WITH {SCRIPTS}, {SCRIPT_LINES}
+        SELECT base_directory, file_name, dir_file,
+               CASE WHEN contains(line, 'EMRPUTF') THEN 'EMRPUTF' ELSE 'EMRPUT' END AS emrput_type,
+               {_strip('line')} AS emrput_line
+        FROM l WHERE contains(line, 'EMRPUT')""",
+    "l05_statements": f"{_statements()} SELECT dir_file, stmt_no, query_text FROM q",
+    "l08_statement_types": f"{_statements()} SELECT dir_file, stmt_no, sql_type, crud_type FROM q",
+    "l11_sources": f"""{_pairs(False)}
+        SELECT dir_file, stmt_no, source FROM e WHERE source <> ''
+        UNION ALL
+        SELECT dir_file, CAST(1 AS INT), unnest(['c1', 'c2']) FROM s WHERE t = 1""",
+    "l13_targets": f"{_pairs(False)} SELECT DISTINCT dir_file, stmt_no, target FROM e WHERE target <> ''",
+    "l15_ctes": f"""WITH {SCRIPTS}
+        SELECT dir_file, CAST(1 AS INT) AS stmt_no, 'C1' AS cte, {S_B} AS source FROM s WHERE t = 1
+        UNION ALL SELECT dir_file, CAST(1 AS INT), 'C2', 'c1' FROM s WHERE t = 1""",
+    "l16_cte_depth": f"""WITH {SCRIPTS}
+        SELECT dir_file, CAST(1 AS INT) AS stmt_no, 'C' || CAST(d AS VARCHAR) AS cte, CAST(d AS INT) AS depth
+        FROM s, (SELECT unnest([1, 2]) AS d) WHERE t = 1""",
+    "l17_temp_objects": f"WITH {SCRIPTS} SELECT DISTINCT 'TV' || a AS temp_name FROM s WHERE t = 5",
+    "l19_resolved_names": f"""{_pairs(False)}
+        SELECT DISTINCT dir_file, stmt_no, target, {_schema('target')} AS tgt_schema, {_table('target')} AS tgt_table
+        FROM e WHERE target <> ''""",
+    "l20_lineage_simple": _lineage(False),
+    "l21_lineage_detail": _lineage(True),
+    "l22_query_text": f"""{_statements()}
+        SELECT row_number() OVER (ORDER BY substr(md5(dir_file), 1, 3), dir_file, stmt_no) AS id, base_directory, file_name,
+               dir_file, crud_type, sql_type, query_text, {LOG_AS_OF} AS op_dtm FROM q""",
+    "l23_run_summary": f"""{_pairs(False)}, {SCRIPT_LINES},
+        w AS (SELECT base_directory, file_name, dir_file, stmt_no FROM e GROUP BY ALL)
+        SELECT (SELECT count(*) FROM s) AS files,
+               (SELECT count(*) FROM w) AS queries,
+               (SELECT CAST(sum(length(text) - length(replace(text, chr(10), '')) + 3 +
+                   CASE t WHEN 5 THEN 1 WHEN 6 THEN 1 WHEN 9 THEN 2 WHEN 10 THEN 2 WHEN 11 THEN 4 ELSE 0 END) AS BIGINT)
+                FROM s) AS file_lines,
+               (SELECT count(*) FROM e) AS lineage_rows,
+               (SELECT count(*) FROM w) AS query_text_rows,
+               (SELECT count(*) FROM l WHERE contains(line, 'EMRPUTF')) AS emrputf_lines,
+               (SELECT count(*) FROM l WHERE contains(line, 'EMRPUT') AND NOT contains(line, 'EMRPUTF')) AS emrput_lines,
+               (SELECT count(*) FROM l WHERE contains(lower(line), 'default')) AS default_lines,
+               (SELECT count(*) FROM l WHERE contains(lower(line), 'key_mst')) AS key_mst_lines""",
+}
+
+
 def all_sql() -> dict[str, str]:
     groups = {**REPORTS, **UPDATES, **DELETES}
-    return {name: _with_views(body, *views) for name, (body, *views) in groups.items()}
+    return {**{name: _with_views(body, *views) for name, (body, *views) in groups.items()}, **LINEAGE}

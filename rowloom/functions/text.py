@@ -20,3 +20,6 @@ def has_keyword(text: Column, keyword: Column | str, case_sensitive: bool = Fals
     if case_sensitive:
         return F.contains(text, word)
     return F.contains(F.lower(text), F.lower(word))
+
+# Text between single quotes; a doubled quote reads as two texts side by side.
+QUOTED_TEXT = "'[^']*+'"
