@@ -2,40 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def split_row_number(
+def weight_before(
     df: DataFrame,
     keys: Sequence[str],
-    slice_order: Column,
     slice_by: str,
-    order: Sequence[Column],
+    slice_order: Column,
+    order: Mapping[str, Column],
+    weight: str,
     name: str,
 ) -> DataFrame:
-    """``row_number() OVER (PARTITION BY keys ORDER BY slice, order)`` in slices.
+    """Sum of ``weight`` over the rows of a group that come before a row and its peers.
 
-    ``slice_by`` is a column that never decreases along the wanted order, such as the day of
-    an instant; ``slice_order`` is its direction.  Every slice of a group is numbered on
-    its own and shifted by the sizes of the slices before it, so a hot group is sorted by
-    as many tasks as it has slices.  Keys and slice must not be NULL.
+    The group is cut into slices: ``slice_by`` is a column that never goes against the wanted
+    order, such as the day of an instant, and ``slice_order`` is its direction.  Sums inside a
+    slice are shifted by the totals of the slices before it, so a hot group is sorted by as many tasks
+    as it has slices and only its slice totals, one row each, meet in one task.  Keys and
+    slice must not be NULL.
     """
     keys = list(keys)
     earlier = Window.partitionBy(*keys).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         df.groupBy(*keys, slice_by)
-        .agg(F.count(F.lit(1)).alias("__size"))
+        .agg(F.sum(weight).alias("__size"))
         .select(*keys, slice_by, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start"))
     )
-    inside = Window.partitionBy(*keys, slice_by).orderBy(*order)
+    # The default frame of an ordered window includes the peers of a row.
+    inside = Window.partitionBy(*keys, slice_by).orderBy(*order.values())
+    peers = Window.partitionBy(*keys, slice_by, *order.keys())
     return (
-        df.withColumn("__place", F.row_number().over(inside))
+        df.withColumn("__through", F.sum(weight).over(inside))
+        .withColumn("__peers", F.sum(weight).over(peers))
         .join(starts, [*keys, slice_by])
-        .withColumn(name, F.col("__start") + F.col("__place"))
-        .drop("__start", "__place")
+        .withColumn(name, F.col("__start") + F.col("__through") - F.col("__peers"))
+        .drop("__start", "__through", "__peers")
     )
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.names import is_table_name, resolve, schema_part, table_part, tidy
-from rowloom.functions.text import QUOTED_TEXT
-from rowloom.plans.lines import job_word, keyword_lines, lines_of
+from rowloom.functions.text import QUOTED_TEXT, file_lines, has_keyword
+from rowloom.plans.lines import count_lines, has_any, job_word
 from rowloom.plans.statements import classify, split_statements, statement_texts, clean_text, temp_objects
-from rowloom.plans.tokens import STATEMENT_KEY, reads_and_ctes
+from rowloom.plans.tokens import STATEMENT_KEY, read_names, reads_and_ctes, spread_texts
 from rowloom.sources.scripts import split_path
 
 # What stands in front of the name of a changed object.
@@ -53,15 +53,14 @@ def statement_facts(statements: DataFrame) -> DataFrame:
 
     Both sides of the join hang on the same exchange of the statement texts.
     """
-    spread = statements.select(*STATEMENT_KEY, "query_text").repartition(*STATEMENT_KEY)
-    known = classify(spread).withColumn("targets", target_names(F.col("query_text"))).drop("query_text")
+    known = classify(spread_texts(statements)).withColumn("targets", target_names(F.col("query_text"))).drop("query_text")
     empty_reads = F.array().cast("array<struct<owner:string,name:string>>")
     empty_names = F.array().cast("array<string>")
     return (
         known.join(reads_and_ctes(statements), list(STATEMENT_KEY), "left")
         .withColumn("reads", F.coalesce("reads", empty_reads))
         .withColumn("ctes", F.coalesce("ctes", empty_names))
-        .withColumn("sources", F.array_sort(F.array_distinct(F.transform("reads", lambda r: r["name"]))))
+        .withColumn("sources", read_names(F.col("reads")))
     )
 
 
@@ -84,10 +83,6 @@ def _edge(source: Column, target: Column, depth: Column) -> Column:
     return F.struct(source.alias("source"), target.alias("target"), depth.cast("int").alias("depth"))
 
 
-def _flat(lists: Column) -> Column:
-    return F.flatten(lists)
-
-
 def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
     """(dir_file, stmt_no, types, source, target, depth), unique pairs per statement.
 
@@ -103,13 +98,13 @@ def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
     facts = facts.withColumn("__from", F.when(F.size(physical) > 0, physical).otherwise(nothing)).withColumn(
         "__to", F.when(F.size("targets") > 0, F.col("targets")).otherwise(nothing)
     )
-    through = _flat(
+    through = F.flatten(
         F.transform("__to", lambda t: F.transform("__from", lambda s: _edge(s, t, F.lit(1))))
     )
     if mode == "DETAIL":
         facts = facts.withColumn("__depths", cte_depths(F.col("ctes"), F.col("reads")))
         deep = lambda name: F.coalesce(F.try_element_at(F.col("__depths"), F.upper(name)), F.lit(1))
-        into = _flat(
+        into = F.flatten(
             F.transform(
                 "ctes",
                 lambda c: F.transform(
@@ -119,7 +114,7 @@ def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
         )
         read_ctes = F.filter("sources", is_cte)
         feeding = F.when(F.size(read_ctes) > 0, read_ctes).otherwise(F.array_sort("ctes"))
-        out = _flat(
+        out = F.flatten(
             F.transform(feeding, lambda c: F.transform("targets", lambda t: _edge(c, t, deep(c) + 1)))
         )
         extra = F.when((F.size("ctes") > 0) & (F.size("targets") > 0), F.concat(into, out)).otherwise(
@@ -196,30 +191,43 @@ def lineage(
 
 
 def run_summary(files: DataFrame, mode: str = "SIMPLE") -> DataFrame:
-    """One row of counts for a run over (dir_file, content) files."""
+    """One row of counts for a run over (dir_file, content) files.
+
+    Everything but the lineage rows is counted inside each file in one pass.
+    """
     content = F.col("content")
-    # Line feeds as a text file reader sees them, plus one.
-    feeds = F.size(F.regexp_extract_all(content, F.lit(r"\r\n|\r|\n"), F.lit(0)))
-    measured = files.select(
-        F.size(statement_texts(clean_text(content))).alias("queries"), (feeds + 1).alias("lines")
-    )
-    counts = measured.agg(
+
+    def lines_having(word: str) -> Column:
+        count = count_lines(content, lambda line: has_keyword(line, word))
+        return F.when(has_keyword(content, word), count).otherwise(0)
+
+    def job_lines(word: str) -> Column:
+        count = count_lines(content, lambda line: F.coalesce(job_word(line) == word, F.lit(False)))
+        return F.when(has_any(content, [word], case_sensitive=True), count).otherwise(0)
+
+    measured = {
+        "queries": F.size(statement_texts(F.col("__clean"))),
+        "file_lines": F.size(file_lines(content)),
+        "emrputf_lines": job_lines("EMRPUTF"),
+        "emrput_lines": job_lines("EMRPUT"),
+        "default_lines": lines_having("default"),
+        "key_mst_lines": lines_having("key_mst"),
+    }
+    cleaned = files.select("content", clean_text(content).alias("__clean"))
+    per_file = cleaned.select(*[value.alias(name) for name, value in measured.items()])
+    counts = per_file.agg(
         F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("queries"), F.lit(0)).cast("bigint").alias("queries"),
-        F.coalesce(F.sum("lines"), F.lit(0)).cast("bigint").alias("file_lines"),
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in measured],
     )
     rows = edges(split_statements(files), mode).agg(F.count(F.lit(1)).alias("n"))
-    lines = lines_of(files)
-    jobs = lines.select(job_word(F.col("line")).alias("word")).filter(F.col("word").isNotNull())
-    words = keyword_lines(lines)
     return counts.select(
         "files",
         "queries",
         "file_lines",
         rows.scalar().alias("lineage_rows"),
         F.col("queries").alias("query_text_rows"),
-        jobs.agg(F.count_if(F.col("word") == "EMRPUTF")).scalar().alias("emrputf_lines"),
-        jobs.agg(F.count_if(F.col("word") == "EMRPUT")).scalar().alias("emrput_lines"),
-        words.agg(F.count_if(F.col("keyword") == "default")).scalar().alias("default_lines"),
-        words.agg(F.count_if(F.col("keyword") == "key_mst")).scalar().alias("key_mst_lines"),
+        "emrputf_lines",
+        "emrput_lines",
+        "default_lines",
+        "key_mst_lines",
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowloom.functions.text import FILE_LINE_ENDS, has_keyword, strip
+from rowloom.functions.text import file_lines, has_keyword, strip
 from rowloom.sources.scripts import split_path
 
 # The words looked for in every script.
@@ -15,27 +15,37 @@ KEYWORDS = ("default", "key_mst")
 JOB_WORDS = ("EMRPUTF", "EMRPUT")
 
 
-def lines_of(files: DataFrame, key: str = "dir_file", text: str = "content") -> DataFrame:
-    """(key, line) for texts held as one row per file; lines as a text file reader sees them."""
-    return files.select(key, F.explode(F.split(text, FILE_LINE_ENDS)).alias("line"))
+def has_any(text: Column, words: Sequence[str], case_sensitive: bool = False) -> Column:
+    found = F.lit(False)
+    for word in words:
+        found = found | has_keyword(text, word, case_sensitive)
+    return found
+
+
+def lines_with(
+    files: DataFrame, words: Sequence[str], case_sensitive: bool = False, key: str = "dir_file", text: str = "content"
+) -> DataFrame:
+    """(key, line) of texts held as one row per file; texts without any word are not split."""
+    hit = files.filter(has_any(F.col(text), words, case_sensitive))
+    return hit.select(key, F.explode(file_lines(F.col(text))).alias("line"))
 
 
 def keyword_lines(
     lines: DataFrame, keywords: Sequence[str] = KEYWORDS, case_sensitive: bool = False
 ) -> DataFrame:
-    """Every line holding a keyword, once per keyword, trimmed; one pass for all keywords."""
-    words = F.array(*[F.lit(k) for k in keywords])
-    hits = F.filter(words, lambda word: has_keyword(F.col("line"), word, case_sensitive))
-    rest = [c for c in lines.columns if c != "line"]
-    return lines.select(*rest, F.explode(hits).alias("keyword"), strip(F.col("line")).alias("line"))
+    """Every line holding a keyword, once per keyword, trimmed; one pass for all keywords.
 
-
-def keyword_texts(files: DataFrame, keywords: Sequence[str], key: str, text: str) -> DataFrame:
-    """Keyword lines of whole texts; texts without any of the words are not split."""
-    any_hit = F.lit(False)
-    for word in keywords:
-        any_hit = any_hit | has_keyword(F.col(text), word)
-    return keyword_lines(lines_of(files.filter(any_hit), key, text), keywords)
+    ``lines`` comes from ``lines_with`` or, for files too large to hold as one row, from
+    ``rowloom.sources.scripts.scan_lines``.
+    """
+    line = F.col("line")
+    hits = F.array_compact(F.array(*[F.when(has_keyword(line, k, case_sensitive), k) for k in keywords]))
+    rest = [c for c in lines.columns if c != "line"]
+    return (
+        lines.filter(has_any(line, keywords, case_sensitive))
+        .select(*rest, F.explode(hits).alias("keyword"), "line")
+        .withColumn("line", strip(line))
+    )
 
 
 def job_word(line: Column) -> Column:
@@ -52,3 +62,8 @@ def emrput_lines(lines: DataFrame) -> DataFrame:
 
 def script_keyword_lines(lines: DataFrame, keywords: Sequence[str] = KEYWORDS) -> DataFrame:
     return split_path(keyword_lines(lines, keywords))
+
+
+def count_lines(content: Column, test) -> Column:
+    """How many lines of a text pass ``test``."""
+    return F.size(F.filter(file_lines(content), test))

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.money import MONEY_TYPE, mean, rounded_ratio, total
 from rowloom.operators.joins import left_join_many
-from rowloom.plans.views import ITEM_ORDER, SOLD, customer_revenue, daily_sales_report, newest_first, sold_orders
+from rowloom.plans.views import (
+    ITEM_ORDER,
+    SOLD,
+    customer_revenue,
+    daily_sales_report,
+    item_order,
+    newest_first,
+    sold_orders,
+)
 
 
 def customers(master: DataFrame, rows: int = 100) -> DataFrame:
@@ -65,9 +73,7 @@ def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places
     an order only its first ``places`` items, can appear.  Both cuts are exact and run as
     group limits before the shuffle, which leaves no hot key for the joins.
     """
-    recent = Window.partitionBy("customer_id").orderBy(
-        F.col("order_date").desc_nulls_last(), F.col("order_id").asc_nulls_last()
-    )
+    recent = Window.partitionBy("customer_id").orderBy(*newest_first().values())
     newest = (
         sold_orders(orders)
         .filter(F.col("customer_id").isNotNull())
@@ -75,7 +81,7 @@ def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places
         .filter(F.col("__place") <= places)
         .drop("__place")
     )
-    within = Window.partitionBy("order_id").orderBy(*[F.col(c).asc_nulls_last() for c in ITEM_ORDER])
+    within = Window.partitionBy("order_id").orderBy(*item_order())
     first_items = (
         items.filter(F.col("order_id").isNotNull())
         .select("order_id", *ITEM_ORDER)
@@ -83,7 +89,7 @@ def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places
         .filter(F.col("__place") <= places)
         .drop("__place")
     )
-    rank = F.row_number().over(Window.partitionBy("customer_id").orderBy(*newest_first()))
+    rank = F.row_number().over(Window.partitionBy("customer_id").orderBy(*newest_first().values(), *item_order()))
     return (
         master.select("customer_id", "customer_name", "email")
         .join(newest.join(first_items, "order_id", "left"), "customer_id")

@@ -51,38 +51,71 @@ def _last_known(value: Column, window) -> Column:
     return F.last(value, ignorenulls=True).over(window)
 
 
-def tokens(statements: DataFrame) -> DataFrame:
-    """(dir_file, stmt_no, pos, tok, up): the words and marks of every statement in order."""
-    spread = statements.select(*STATEMENT_KEY, "query_text").repartition(*STATEMENT_KEY)
-    found = F.regexp_extract_all(without_quotes(F.col("query_text")), F.lit(TOKEN), F.lit(0))
-    return spread.select(*STATEMENT_KEY, F.posexplode(found).alias("pos", "tok")).withColumn("up", F.upper("tok"))
+def spread_texts(statements: DataFrame) -> DataFrame:
+    """Statement texts hashed by their key.
 
+    The number of partitions is given, so that adaptive execution does not merge them by the size
+    of the texts: the work per byte is many times that of a usual shuffle.
+    """
+    parts = int(statements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return statements.select(*STATEMENT_KEY, "query_text").repartition(parts, *STATEMENT_KEY)
 
-def with_neighbours(table: DataFrame) -> DataFrame:
-    """The three tokens before each row, the one after it, and the first word of its statement."""
-    w = Window.partitionBy(*STATEMENT_KEY).orderBy("pos")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    return table.select(
-        "*",
-        *[F.lag("up", n).over(w).alias(f"p{n}") for n in (1, 2, 3)],
-        F.lag("tok", 2).over(w).alias("p2_tok"),
-        F.lag("tok", 1).over(w).alias("p1_tok"),
-        F.lead("up", 1).over(w).alias("next_up"),
-        F.first("up").over(so_far).alias("first_up"),
+
+def _shifted(array: Column, by: int) -> Column:
+    """The same array with every element ``by`` places later."""
+    return F.concat(F.array(*[F.lit("")] * by), array)
+
+
+def tokens(statements: DataFrame) -> DataFrame:
+    """The tokens that decide something, each with its neighbours by position.
+
+    Columns: ``pos``, ``tok`` and its upper-case form ``up``; ``p1``, ``p2``, ``p3`` the upper-case
+    tokens before it and ``p1_tok``, ``p2_tok`` as written; ``next_up`` the token after it;
+    ``first_up`` the first token of the statement.  Brackets, clause words and words after FROM,
+    JOIN, USING or a comma are kept, everything else only serves as a neighbour: the running
+    values below change at kept tokens alone.
+    """
+    found = F.regexp_extract_all(without_quotes(F.col("query_text")), F.lit(TOKEN), F.lit(0))
+    cut = spread_texts(statements).select(*STATEMENT_KEY, found.alias("__toks"))
+    toks = F.col("__toks")
+    row = F.arrays_zip(
+        toks.alias("tok"),
+        _shifted(toks, 1).alias("p1_tok"),
+        _shifted(toks, 2).alias("p2_tok"),
+        _shifted(toks, 3).alias("p3_tok"),
+        F.slice(toks, 2, F.greatest(F.size(toks), F.lit(1))).alias("next_tok"),
+    )
+    rows = cut.select(
+        *STATEMENT_KEY, F.upper(F.try_element_at(toks, F.lit(1))).alias("first_up"), F.posexplode(row).alias("pos", "t")
+    ).select(*STATEMENT_KEY, "first_up", "pos", "t.*")
+    upper = {"up": "tok", "p1": "p1_tok", "p2": "p2_tok", "p3": "p3_tok", "next_up": "next_tok"}
+    rows = rows.filter(F.col("tok").isNotNull()).select(
+        *STATEMENT_KEY, "first_up", "pos", "tok", "p1_tok", "p2_tok",
+        *[F.upper(column).alias(name) for name, column in upper.items()],
     )
+    decides = (
+        F.col("tok").isin("(", ")")
+        | F.col("up").isin("WITH", *CLAUSES, *MAIN_WORDS)
+        | F.col("p1").isin("FROM", "JOIN", "USING", ",")
+    )
+    return rows.filter(decides)
 
 
 def with_depth(table: DataFrame) -> DataFrame:
     """Bracket depth, both brackets inside; a closing bracket too many does not go below 0."""
     w = Window.partitionBy(*STATEMENT_KEY).orderBy("pos")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     step = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)
     level = table.withColumn("__sum", F.sum(step).over(so_far))
-    level = level.withColumn("__after", F.col("__sum") - F.least(F.lit(0), F.min("__sum").over(so_far)))
-    before = F.coalesce(F.lag("__after", 1).over(w), F.lit(0))
-    return level.withColumn(
-        "depth", F.when(F.col("tok") == ")", before).otherwise(F.col("__after")).cast("int")
-    ).drop("__sum", "__after")
+    level = level.withColumns(
+        {"__low": F.min("__sum").over(so_far), "__low_before": F.coalesce(F.min("__sum").over(earlier), F.lit(0))}
+    )
+    after = F.col("__sum") - F.least(F.lit(0), F.col("__low"))
+    before = F.col("__sum") + 1 - F.least(F.lit(0), F.col("__low_before"))
+    return level.withColumn("depth", F.when(F.col("tok") == ")", before).otherwise(after).cast("int")).drop(
+        "__sum", "__low", "__low_before"
+    )
 
 
 def with_owner(table: DataFrame) -> DataFrame:
@@ -147,7 +180,7 @@ def with_clause(table: DataFrame) -> DataFrame:
 
 
 def token_table(statements: DataFrame) -> DataFrame:
-    return with_clause(with_group(with_owner(with_depth(with_neighbours(tokens(statements))))))
+    return with_clause(with_group(with_owner(with_depth(tokens(statements)))))
 
 
 def source_name(table: DataFrame) -> Column:
@@ -181,3 +214,8 @@ def reads_and_ctes(statements: DataFrame) -> DataFrame:
     )
     written = F.transform(F.array_sort("__ctes"), lambda c: c["cte_opens"])
     return grouped.select(*STATEMENT_KEY, "reads", F.array_distinct(written).alias("ctes"))
+
+
+def read_names(reads: Column) -> Column:
+    """The distinct names of ``reads``, sorted."""
+    return F.array_sort(F.array_distinct(F.transform(reads, lambda r: r["name"])))

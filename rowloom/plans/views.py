@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.money import mean, total
-from rowloom.operators.joins import left_join_many
-from rowloom.operators.ranking import split_row_number
+from rowloom.operators.ranking import weight_before
 
 # Order states that count as a sale.
 SOLD = ("COMPLETED", "PENDING")
@@ -19,10 +18,14 @@ SOLD = ("COMPLETED", "PENDING")
 ITEM_ORDER = ("order_item_id", "product_id", "quantity", "unit_price")
 
 
-def newest_first() -> list:
-    return [F.col("order_date").desc_nulls_last(), F.col("order_id").asc_nulls_last()] + [
-        F.col(c).asc_nulls_last() for c in ITEM_ORDER
-    ]
+def newest_first() -> dict[str, Column]:
+    """The order of a customer's orders."""
+    return {"order_date": F.col("order_date").desc_nulls_last(), "order_id": F.col("order_id").asc_nulls_last()}
+
+
+def item_order() -> list[Column]:
+    """The order of the items of an order."""
+    return [F.col(c).asc_nulls_last() for c in ITEM_ORDER]
 
 
 def sold_orders(orders: DataFrame) -> DataFrame:
@@ -31,24 +34,48 @@ def sold_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def items_per_order(items: DataFrame) -> DataFrame:
+    """(order_id, __items); counted map-side, so a hot order is one row per task in the shuffle."""
+    return items.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count(F.lit(1)).alias("__items"))
+
+
 def sales_analysis(master: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Every sold item with its place among the customer's purchases, newest first.
 
     Customers without a sale do not appear: the status condition turns the first left
     join into an inner one.  Orders without items do, with empty item columns.  The place
     counts items, not orders.
+
+    The places are prepared on orders, which know how many item rows they stand for: the rows
+    of earlier orders are added up in day slices, so a customer with a large share of all
+    orders is spread over many tasks.  The items are then shuffled once, for their join, and
+    numbered inside their order without another shuffle.
     """
-    customers = master.select("customer_id", "customer_name", "email")
-    parts = items.select("order_id", *ITEM_ORDER)
-    rows = left_join_many(customers.join(sold_orders(orders), "customer_id"), parts, ["order_id"])
-    # Undated purchases come last, so they share the slice before every other day.
-    rows = rows.withColumn("__day", F.coalesce(F.to_date("order_date"), F.lit("0001-01-01").cast("date")))
-    ranked = split_row_number(
-        rows, ["customer_id"], F.col("__day").desc(), "__day", newest_first(), "purchase_rank"
+    counted = (
+        sold_orders(orders)
+        .join(items_per_order(items), "order_id", "left")
+        .withColumn("__rows", F.coalesce("__items", F.lit(1)))
+        # Undated purchases come last, so they share the slice before every other day.
+        .withColumn("__day", F.coalesce(F.to_date("order_date"), F.lit("0001-01-01").cast("date")))
+    )
+    placed = weight_before(
+        master.select("customer_id", "customer_name", "email").join(counted, "customer_id"),
+        ["customer_id"],
+        "__day",
+        F.col("__day").desc(),
+        newest_first(),
+        "__rows",
+        "__before",
     )
-    return ranked.select(
-        "customer_id", "customer_name", "email", "order_id", "order_date", "total_amount",
-        "product_id", "quantity", "unit_price", "purchase_rank",
+    # Orders of one id and instant share their places, as they are told apart by items only.
+    within = Window.partitionBy("order_id", "customer_id", "order_date").orderBy(*item_order())
+    return (
+        placed.join(items.select("order_id", *ITEM_ORDER), "order_id", "left")
+        .withColumn("purchase_rank", F.col("__before") + F.row_number().over(within))
+        .select(
+            "customer_id", "customer_name", "email", "order_id", "order_date", "total_amount",
+            "product_id", "quantity", "unit_price", "purchase_rank",
+        )
     )
 
 
@@ -90,8 +117,9 @@ def customer_revenue(master: DataFrame, orders: DataFrame, items: DataFrame, per
     if per_order:
         weighted = sold.withColumn("__rows", F.lit(1).cast("bigint"))
     else:
-        counts = items.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count(F.lit(1)).alias("__items"))
-        weighted = sold.join(counts, "order_id", "left").withColumn("__rows", F.coalesce("__items", F.lit(1)))
+        weighted = sold.join(items_per_order(items), "order_id", "left").withColumn(
+            "__rows", F.coalesce("__items", F.lit(1))
+        )
     amount, rows = F.col("total_amount"), F.col("__rows")
     per_customer = weighted.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("__orders"),
