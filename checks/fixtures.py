@@ -26,9 +26,12 @@ class Warehouse:
         use_utc(spark)
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def _shaped(self, df: DataFrame, name: str) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in table_schema(name)])

@@ -24,7 +24,8 @@ def tidy(name: Column) -> Column:
 
 
 def is_table_name(name: Column) -> Column:
-    return (name != "") & ~F.upper(name).isin(*NO_TABLE) & ~name.rlike(r"(?U)^\d")
+    """Not empty, not a reserved word and not starting with a digit."""
+    return ~name.rlike(rf"(?isU)^(?:|\d.*|{'|'.join(NO_TABLE)})$")
 
 
 def _substitute(name: Column, pattern: str, variables: Column) -> Column:

@@ -43,7 +43,7 @@ def target_names(text: Column) -> Column:
     """Distinct names a statement creates, fills, changes or drops, sorted."""
     found = F.regexp_extract_all(F.regexp_replace(text, QUOTED_TEXT, "''"), F.lit(TARGET), F.lit(1))
     names = F.filter(
-        F.transform(found, tidy), lambda n: is_table_name(n) & ~F.upper(n).isin(*NO_TARGET)
+        F.transform(found, tidy), lambda n: is_table_name(n) & ~n.rlike(rf"(?i)^(?:{'|'.join(NO_TARGET)})$")
     )
     return F.array_sort(F.array_distinct(names))
 
@@ -54,35 +54,21 @@ def statement_facts(statements: DataFrame) -> DataFrame:
     Both sides of the join hang on the same exchange of the statement texts.
     """
     known = classify(spread_texts(statements)).withColumn("targets", target_names(F.col("query_text"))).drop("query_text")
-    empty_reads = F.array().cast("array<struct<owner:string,name:string>>")
-    empty_names = F.array().cast("array<string>")
     return (
         known.join(reads_and_ctes(statements), list(STATEMENT_KEY), "left")
-        .withColumn("reads", F.coalesce("reads", empty_reads))
-        .withColumn("ctes", F.coalesce("ctes", empty_names))
+        .selectExpr("* EXCEPT (reads, ctes)", "coalesce(reads, array()) AS reads", "coalesce(ctes, array()) AS ctes")
         .withColumn("sources", read_names(F.col("reads")))
     )
 
 
-def cte_depths(ctes: Column, reads: Column) -> Column:
-    """WITH name → 1 + the largest depth of the names it reads; one fold in written order."""
-    start = F.create_map().cast("map<string,int>")
-
-    def depth(known: Column, name: Column) -> Column:
-        below = F.transform(
-            F.filter(reads, lambda r: r["owner"] == name), lambda r: F.try_element_at(known, F.upper(r["name"]))
-        )
-        return F.coalesce(F.array_max(below), F.lit(0)) + 1
-
-    return F.aggregate(
-        ctes, start, lambda known, name: F.map_concat(known, F.map_from_arrays(F.array(name), F.array(depth(known, name))))
+def cte_depths() -> Column:
+    """WITH name → 1 + the largest depth of the names it reads; one fold over ``ctes`` in written order."""
+    return F.expr(
+        """aggregate(ctes, CAST(map() AS MAP<STRING, INT>), (known, c) -> map_concat(known, map(c, 1 + coalesce(
+               array_max(transform(filter(reads, r -> r.owner = c), r -> try_element_at(known, upper(r.name)))), 0))))"""
     )
 
 
-def _edge(source: Column, target: Column, depth: Column) -> Column:
-    return F.struct(source.alias("source"), target.alias("target"), depth.cast("int").alias("depth"))
-
-
 def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
     """(dir_file, stmt_no, types, source, target, depth), unique pairs per statement.
 
@@ -91,48 +77,46 @@ def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
-    facts = statement_facts(statements).filter((F.size("sources") > 0) | (F.size("targets") > 0))
-    is_cte = lambda name: F.array_contains(F.col("ctes"), F.upper(name))
-    nothing = F.array(F.lit(None).cast("string"))
-    physical = F.filter("sources", lambda s: ~is_cte(s))
-    facts = facts.withColumn("__from", F.when(F.size(physical) > 0, physical).otherwise(nothing)).withColumn(
-        "__to", F.when(F.size("targets") > 0, F.col("targets")).otherwise(nothing)
-    )
-    through = F.flatten(
-        F.transform("__to", lambda t: F.transform("__from", lambda s: _edge(s, t, F.lit(1))))
-    )
-    if mode == "DETAIL":
-        facts = facts.withColumn("__depths", cte_depths(F.col("ctes"), F.col("reads")))
-        deep = lambda name: F.coalesce(F.try_element_at(F.col("__depths"), F.upper(name)), F.lit(1))
-        into = F.flatten(
-            F.transform(
-                "ctes",
-                lambda c: F.transform(
-                    F.array_sort(F.filter("reads", lambda r: r["owner"] == c)), lambda r: _edge(r["name"], c, deep(c))
-                ),
-            )
+    nothing = "array(CAST(NULL AS STRING))"
+    facts = (
+        statement_facts(statements)
+        .filter("size(sources) > 0 OR size(targets) > 0")
+        .selectExpr(
+            "*",
+            "filter(sources, s -> NOT array_contains(ctes, upper(s))) AS __physical",
+            "filter(sources, s -> array_contains(ctes, upper(s))) AS __read_ctes",
         )
-        read_ctes = F.filter("sources", is_cte)
-        feeding = F.when(F.size(read_ctes) > 0, read_ctes).otherwise(F.array_sort("ctes"))
-        out = F.flatten(
-            F.transform(feeding, lambda c: F.transform("targets", lambda t: _edge(c, t, deep(c) + 1)))
+        .selectExpr(
+            "*",
+            f"IF(size(__physical) > 0, __physical, {nothing}) AS __from",
+            f"IF(size(targets) > 0, targets, {nothing}) AS __to",
         )
-        extra = F.when((F.size("ctes") > 0) & (F.size("targets") > 0), F.concat(into, out)).otherwise(
-            F.slice(through, 1, 0)
+    )
+    edge = "named_struct('source', {}, 'target', {}, 'depth', {})"
+    through = f"flatten(transform(__to, t -> transform(__from, s -> {edge.format('s', 't', '1')})))"
+    if mode == "DETAIL":
+        # No list of WITH names without a target, and every one of them if none is read.
+        facts = facts.withColumn("__depths", cte_depths()).selectExpr(
+            "*",
+            "IF(size(targets) > 0, ctes, slice(ctes, 1, 0)) AS __shown",
+            "IF(size(__read_ctes) > 0, __read_ctes, array_sort(ctes)) AS __feeding",
         )
-        found = F.concat(through, extra)
+        into = f"""flatten(transform(__shown, c -> transform(array_sort(filter(reads, r -> r.owner = c)),
+                       r -> {edge.format('r.name', 'c', '__depths[c]')})))"""
+        out = f"""flatten(transform(IF(size(__shown) > 0, __feeding, slice(ctes, 1, 0)),
+                      c -> transform(targets, t -> {edge.format('c', 't', '__depths[upper(c)] + 1')})))"""
+        found = f"concat({through}, {into}, {out})"
     else:
         found = through
-    rows = facts.select(
-        *STATEMENT_KEY, "sql_type", "crud_type", "ctes", F.posexplode(found).alias("place", "edge")
-    ).select(*STATEMENT_KEY, "sql_type", "crud_type", "ctes", "place", "edge.*")
+    kept = [*STATEMENT_KEY, "sql_type", "crud_type", "ctes"]
+    rows = facts.selectExpr(*kept, f"posexplode({found}) AS (place, edge)").select(*kept, "place", "edge.*")
     if mode == "DETAIL":
         # The first of equal pairs wins; the key is the one the rows are spread by already.
         same = Window.partitionBy(*STATEMENT_KEY, "source", "target").orderBy("place")
-        rows = rows.withColumn("__nth", F.row_number().over(same)).filter(F.col("__nth") == 1).drop("__nth")
-    return rows.select(
+        rows = rows.withColumn("__nth", F.row_number().over(same)).filter("__nth = 1")
+    return rows.selectExpr(
         *STATEMENT_KEY, "sql_type", "crud_type", "source", "target", "depth",
-        is_cte(F.col("source")).alias("source_is_cte"), is_cte(F.col("target")).alias("target_is_cte"),
+        "array_contains(ctes, upper(source)) AS source_is_cte", "array_contains(ctes, upper(target)) AS target_is_cte",
     )
 
 

@@ -8,7 +8,9 @@ many times larger token table never is.  A window covers one statement, never a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.names import is_table_name, tidy
@@ -41,14 +43,22 @@ CLAUSES = (
 MAIN_WORDS = ("SELECT", "INSERT", "UPDATE", "DELETE", "MERGE", "VALUES")
 
 WITH_LEADS = ("WITH", "RECURSIVE", ",")
+LIST_LEADS = ("FROM", "JOIN", "USING", ",")
+
+
+# Windows over one statement in written order.
+STATEMENT = "PARTITION BY dir_file, stmt_no"
+SO_FAR = f"({STATEMENT} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+EARLIER = f"({STATEMENT} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
-def _is_word(token: Column) -> Column:
-    return token.rlike(rf"(?U)^{NAME}$")
+def _in(column: str, words: Sequence[str]) -> str:
+    return f"{column} IN ({', '.join(repr(w) for w in words)})"
 
 
-def _last_known(value: Column, window) -> Column:
-    return F.last(value, ignorenulls=True).over(window)
+def _is_word(column: str) -> str:
+    pattern = f"(?U)^{NAME}$".replace("\\", "\\\\")
+    return f"{column} RLIKE '{pattern}'"
 
 
 def spread_texts(statements: DataFrame) -> DataFrame:
@@ -93,28 +103,22 @@ def tokens(statements: DataFrame) -> DataFrame:
         *STATEMENT_KEY, "first_up", "pos", "tok", "p1_tok", "p2_tok",
         *[F.upper(column).alias(name) for name, column in upper.items()],
     )
-    decides = (
-        F.col("tok").isin("(", ")")
-        | F.col("up").isin("WITH", *CLAUSES, *MAIN_WORDS)
-        | F.col("p1").isin("FROM", "JOIN", "USING", ",")
+    return rows.filter(
+        f"tok IN ('(', ')') OR {_in('up', ('WITH', *CLAUSES, *MAIN_WORDS))} OR {_in('p1', LIST_LEADS)}"
     )
-    return rows.filter(decides)
 
 
 def with_depth(table: DataFrame) -> DataFrame:
     """Bracket depth, both brackets inside; a closing bracket too many does not go below 0."""
-    w = Window.partitionBy(*STATEMENT_KEY).orderBy("pos")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    step = F.when(F.col("tok") == "(", 1).when(F.col("tok") == ")", -1).otherwise(0)
-    level = table.withColumn("__sum", F.sum(step).over(so_far))
-    level = level.withColumns(
-        {"__low": F.min("__sum").over(so_far), "__low_before": F.coalesce(F.min("__sum").over(earlier), F.lit(0))}
-    )
-    after = F.col("__sum") - F.least(F.lit(0), F.col("__low"))
-    before = F.col("__sum") + 1 - F.least(F.lit(0), F.col("__low_before"))
-    return level.withColumn("depth", F.when(F.col("tok") == ")", before).otherwise(after).cast("int")).drop(
-        "__sum", "__low", "__low_before"
+    return (
+        table.selectExpr("*", f"sum(CASE tok WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER {SO_FAR} AS __sum")
+        .selectExpr(
+            "*",
+            f"least(0, min(__sum) OVER {SO_FAR}) AS __low",
+            f"least(0, coalesce(min(__sum) OVER {EARLIER}, 0)) AS __low_before",
+        )
+        .selectExpr("* EXCEPT (__sum, __low, __low_before)",
+                    "CAST(IF(tok = ')', __sum + 1 - __low_before, __sum - __low) AS INT) AS depth")
     )
 
 
@@ -124,79 +128,66 @@ def with_owner(table: DataFrame) -> DataFrame:
     The list may stand at any depth; names may carry a column list.  ``cte_opens`` is the
     upper-case name on the opening bracket of its body, ``owner`` the same on every row inside.
     """
-    w = Window.partitionBy(*STATEMENT_KEY).orderBy("pos")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    based = table.withColumn(
-        "__base", F.first(F.when(F.col("up") == "WITH", F.col("depth")), ignorenulls=True).over(so_far)
-    )
-    opens = (F.col("tok") == "(") & (F.col("depth") == F.col("__base") + 1)
-    main = F.when((F.col("depth") == F.col("__base")) & F.col("up").isin("WITH", *MAIN_WORDS), F.col("up"))
-    based = based.withColumns(
-        {
-            "__main": _last_known(main, so_far),
+    opens = "(tok = '(' AND depth = __base + 1)"
+    main = _in("up", ("WITH", *MAIN_WORDS))
+    named = f"""CASE WHEN {_is_word('p2_tok')} AND {_in('p3', WITH_LEADS)} THEN upper(p2_tok)
+                     WHEN p2 = ')' AND {_in('__list_lead', WITH_LEADS)} THEN upper(__list_name) END"""
+    return (
+        table.selectExpr("*", f"first(IF(up = 'WITH', depth, NULL), true) OVER {SO_FAR} AS __base")
+        .selectExpr(
+            "*",
+            f"last(IF(depth = __base AND {main}, up, NULL), true) OVER {SO_FAR} AS __main",
             # The bracket before this one at the same depth: a column list, if this opens a body.
-            "__list_name": _last_known(F.when(opens, F.coalesce(F.col("p1_tok"), F.lit(""))), earlier),
-            "__list_lead": _last_known(F.when(opens, F.coalesce(F.col("p2"), F.lit(""))), earlier),
-        }
+            f"last(IF({opens}, p1_tok, NULL), true) OVER {EARLIER} AS __list_name",
+            f"last(IF({opens}, p2, NULL), true) OVER {EARLIER} AS __list_lead",
+        )
+        .selectExpr("*", f"IF({opens} AND __main = 'WITH' AND p1 = 'AS', {named}, NULL) AS cte_opens")
+        .selectExpr("*", f"last(IF({opens}, coalesce(cte_opens, ''), NULL), true) OVER {SO_FAR} AS __inside")
+        .selectExpr(
+            "* EXCEPT (__base, __main, __list_name, __list_lead, __inside)",
+            "IF(depth > __base, nullif(__inside, ''), NULL) AS owner",
+        )
     )
-    named = F.when(_is_word(F.col("p2_tok")) & F.col("p3").isin(*WITH_LEADS), F.upper("p2_tok")).when(
-        (F.col("p2") == ")") & F.col("__list_lead").isin(*WITH_LEADS), F.upper("__list_name")
-    )
-    name = F.when(opens & (F.col("__main") == "WITH") & (F.col("p1") == "AS"), named)
-    based = based.withColumn("cte_opens", name)
-    inside = _last_known(F.when(opens, F.coalesce(F.col("cte_opens"), F.lit(""))), so_far)
-    return based.withColumn(
-        "owner", F.when(F.col("depth") > F.col("__base"), F.nullif(inside, F.lit("")))
-    ).drop("__base", "__main", "__list_name", "__list_lead")
 
 
 def with_group(table: DataFrame) -> DataFrame:
     """The bracket a row stands in (-1 outside), and whether that bracket holds function arguments."""
-    w = (
-        Window.partitionBy(*STATEMENT_KEY, "depth")
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    opening = (F.col("tok") == "(") & (F.col("depth") > 0)
-    call = _is_word(F.col("p1")) & ~F.col("p1").isin(*NO_FUNCTION) & ~F.col("next_up").isin("SELECT", "WITH")
-    return table.withColumns(
-        {
-            "grp": F.when(F.col("depth") == 0, F.lit(-1)).otherwise(_last_known(F.when(opening, F.col("pos")), w)),
-            "in_call": F.coalesce(_last_known(F.when(opening, F.coalesce(call, F.lit(False))), w), F.lit(False))
-            & (F.col("depth") > 0),
-        }
+    window = "(PARTITION BY dir_file, stmt_no, depth ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    call = f"({_is_word('p1')} AND NOT {_in('p1', NO_FUNCTION)} AND coalesce(next_up, '') NOT IN ('SELECT', 'WITH'))"
+    return table.selectExpr(
+        "*",
+        f"IF(depth = 0, -1, last(IF(tok = '(', pos, NULL), true) OVER {window}) AS grp",
+        f"depth > 0 AND coalesce(last(IF(tok = '(', {call}, NULL), true) OVER {window}, false) AS in_call",
     )
 
 
 def with_clause(table: DataFrame) -> DataFrame:
     """The last clause word before a row in its own bracket."""
-    w = (
-        Window.partitionBy(*STATEMENT_KEY, "grp")
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return table.withColumn("clause", _last_known(F.when(F.col("up").isin(*CLAUSES), F.col("up")), w))
+    window = "(PARTITION BY dir_file, stmt_no, grp ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return table.selectExpr("*", f"last(IF({_in('up', CLAUSES)}, up, NULL), true) OVER {window} AS clause")
 
 
 def token_table(statements: DataFrame) -> DataFrame:
     return with_clause(with_group(with_owner(with_depth(tokens(statements)))))
 
 
-def source_name(table: DataFrame) -> Column:
+def source_name() -> Column:
     """The table read at this row, or NULL.
 
     A name after FROM or JOIN, after USING of a MERGE or DELETE, or after a comma of such a list;
     function arguments (``EXTRACT(x FROM y)``) and IS DISTINCT FROM do not count.
     """
-    name = tidy(F.col("tok"))
-    after_word = (F.col("p1").isin("FROM", "JOIN")) & ~F.coalesce(F.col("p2") == "DISTINCT", F.lit(False))
-    after_using = (F.col("p1") == "USING") & F.col("first_up").isin("MERGE", "DELETE")
-    next_of_list = (F.col("p1") == ",") & (
-        F.col("clause").isin("FROM", "JOIN") | ((F.col("clause") == "USING") & F.col("first_up").isin("MERGE", "DELETE"))
+    using = "first_up IN ('MERGE', 'DELETE')"
+    reads = F.expr(
+        f"""NOT in_call AND {_is_word('tok')} AND CASE p1
+            WHEN 'FROM' THEN p2 <> 'DISTINCT'
+            WHEN 'JOIN' THEN p2 <> 'DISTINCT'
+            WHEN 'USING' THEN {using}
+            WHEN ',' THEN clause IN ('FROM', 'JOIN') OR (clause = 'USING' AND {using})
+            ELSE false END"""
     )
-    reads = ~F.col("in_call") & (after_word | after_using | next_of_list)
-    return F.when(reads & _is_word(F.col("tok")) & is_table_name(name), name)
+    name = tidy(F.col("tok"))
+    return F.when(reads & is_table_name(name), name)
 
 
 def reads_and_ctes(statements: DataFrame) -> DataFrame:
@@ -205,7 +196,7 @@ def reads_and_ctes(statements: DataFrame) -> DataFrame:
     Grouped by the key the tokens are already spread by, so no further shuffle.
     """
     table = token_table(statements)
-    marked = table.select(*STATEMENT_KEY, "pos", "owner", source_name(table).alias("name"), "cte_opens").filter(
+    marked = table.select(*STATEMENT_KEY, "pos", "owner", source_name().alias("name"), "cte_opens").filter(
         F.col("name").isNotNull() | F.col("cte_opens").isNotNull()
     )
     grouped = marked.groupBy(*STATEMENT_KEY).agg(

@@ -15,6 +15,8 @@ def with_defaults(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Split a hot join partition even where the plan above needs one more shuffle for it.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Plans are built from many columns; recording the Python line of each takes most of that time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # One output directory may be replaced without touching its siblings.
         .config("spark.sql.sources.partitionOverwriteMode", "static")
     )
