@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.functions.text import strip
@@ -21,10 +21,14 @@ def _file_filter() -> str:
     return "*.{" + ",".join(letters) + "}"
 
 
-def _local_path(uri: Column) -> Column:
+def _local_path(address: Column) -> Column:
     """Plain path of a file on this machine, the full address of any other."""
-    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(plain, r"^file:/+", "/")
+    return F.regexp_replace(address, r"^file:/+", "/")
+
+
+def _decoded(address: Column) -> Column:
+    """An address with its escapes undone; a plus sign is no escape in a path."""
+    return F.url_decode(F.replace(address, F.lit("+"), F.lit("%2B")))
 
 
 def _readable(raw: Column) -> Column:
@@ -32,21 +36,20 @@ def _readable(raw: Column) -> Column:
     return F.regexp_replace(F.make_valid_utf8(raw), "\ufffd", "")
 
 
-def _read(spark: SparkSession, folder: str, whole: bool) -> DataFrame:
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _file_filter())
-    # The keyword argument counts; an option of the same name is overridden by its default.
-    return reader.text(folder, wholetext=whole).select(
-        _local_path(F.col("_metadata.file_path")).alias("dir_file"), _readable(F.col("value")).alias("text")
-    )
+def _reader(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _file_filter())
 
 
 def scan_scripts(spark: SparkSession, folder: str) -> DataFrame:
     """Every script below ``folder``: (dir_file, content), one row per file.
 
-    A file is one row and therefore limited to 2 GB.  Names starting with ``.`` or ``_``
-    are skipped, as everywhere in Spark.
+    A file is one row and therefore limited to 2 GB.  Empty files and names starting with ``.``
+    or ``_`` are skipped, as everywhere in Spark.
     """
-    return _read(spark, folder, whole=True).withColumnRenamed("text", "content")
+    found = _reader(spark).format("binaryFile").load(folder)
+    return found.select(
+        _local_path(F.col("path")).alias("dir_file"), _readable(F.col("content").cast("string")).alias("content")
+    )
 
 
 def scan_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,7 +57,9 @@ def scan_lines(spark: SparkSession, folder: str) -> DataFrame:
 
     Large files are split between tasks; use this where whole files are not needed.
     """
-    return _read(spark, folder, whole=False).withColumnRenamed("text", "line")
+    return _reader(spark).text(folder).select(
+        _local_path(_decoded(F.col("_metadata.file_path"))).alias("dir_file"), _readable(F.col("value")).alias("line")
+    )
 
 
 def only_scripts(files: DataFrame) -> DataFrame:
