@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 
+def group_apart(df: DataFrame, *columns: str) -> GroupedData:
+    """Group by ``columns`` for a join on them; get them back with ``.select("__key.*", ...)``.
+
+    Spark would use the shuffle of the grouping for the join as well, and then cannot cut the
+    join at a hot key, because it only cuts what comes straight from a shuffle.  Grouping by one
+    struct of the columns leaves the join its own shuffle, of one row per key.
+    """
+    return df.groupBy(F.struct(*columns).alias("__key"))
+
+
 def keys_of(df: DataFrame, *columns: str) -> DataFrame:
-    """The distinct keys; reduced inside each map task before they are shuffled."""
-    return df.select(*columns).distinct()
+    """The distinct keys, for a join on them; reduced inside each map task before any shuffle."""
+    return df.select(F.struct(*columns).alias("__key")).distinct().select("__key.*")
 
 
 def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -45,17 +55,17 @@ def not_in(df: DataFrame, key: str, members: DataFrame, mark: str) -> DataFrame:
     has to broadcast the members, this one shuffles both sides.
     """
     [column] = members.columns
-    facts = members.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("nulls")
+    facts = (
+        members.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("nulls"))
+        .select(F.struct((F.col("n") == 0).alias("empty"), (F.col("nulls") > 0).alias("has_null")))
+        .scalar()
     )
-    empty = facts.select(F.col("n") == 0).scalar()
-    has_null = facts.select(F.col("nulls") > 0).scalar()
     marked = mark_members(df, key, members.filter(F.col(column).isNotNull()), mark)
     value = (
-        F.when(empty, F.lit(True))
+        F.when(facts["empty"], F.lit(True))
         .when(F.col(key).isNull(), F.lit(None).cast("boolean"))
         .when(F.col(mark), F.lit(False))
-        .when(has_null, F.lit(None).cast("boolean"))
+        .when(facts["has_null"], F.lit(None).cast("boolean"))
         .otherwise(F.lit(True))
     )
     return marked.withColumn(mark, value)

@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowloom.operators.joins import group_apart, keys_of
+
 
 def apply_update(target: DataFrame, when: Column, sets: Mapping[str, Column]) -> DataFrame:
     """Set columns where ``when`` is TRUE; FALSE and NULL leave the row alone.
@@ -73,9 +75,9 @@ def apply_merge(
     """
     types = {f.name: f.dataType for f in target.schema.fields}
     partners = (
-        source.filter(F.col(on).isNotNull())
-        .groupBy(F.col(on).alias("__key"))
+        group_apart(source.filter(F.col(on).isNotNull()), on)
         .agg(F.count(F.lit(1)).alias("__times"), F.first(F.struct(*source.columns)).alias("s"))
+        .select(F.col(f"__key.{on}").alias("__key"), "__times", "s")
     )
     t = target.select(F.struct(*target.columns).alias("t"), F.col(on).alias("__on"))
     joined = t.join(partners, F.col("__on") == F.col("__key"), "left")
@@ -101,7 +103,7 @@ def apply_merge(
     if not not_matched:
         return kept
 
-    known = target.select(F.col(on).alias("__known")).distinct()
+    known = keys_of(target, on).select(F.col(on).alias("__known"))
     fresh = source.join(known, F.col(on) == F.col("__known"), "left_anti").select(F.struct(*source.columns).alias("s"))
     clause = F.lit(-1)
     for number in reversed(range(len(not_matched))):

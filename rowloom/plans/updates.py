@@ -13,16 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.money import MONEY_TYPE
+from rowloom.operators.joins import group_apart
 from rowloom.operators.rowchange import Delete, Insert, Update, apply_merge, apply_update
 from rowloom.plans.views import SOLD
 
 
 def _orders_by_customer(orders: DataFrame, **facts: Column) -> DataFrame:
-    return (
-        orders.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(*[value.alias(name) for name, value in facts.items()])
-    )
+    grouped = group_apart(orders.filter(F.col("customer_id").isNotNull()), "customer_id")
+    return grouped.agg(*[value.alias(name) for name, value in facts.items()]).select("__key.*", *facts)
 
 
 def _with_facts(target: DataFrame, facts: DataFrame) -> DataFrame:
@@ -132,10 +130,10 @@ def last_order(master: DataFrame, orders: DataFrame, as_of: date, now: datetime)
 def one_primary(addresses: DataFrame) -> DataFrame:
     """Where a customer has several primary addresses, keep the one with the smallest id."""
     several = (
-        addresses.filter(F.col("is_primary") & F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
+        group_apart(addresses.filter(F.col("is_primary") & F.col("customer_id").isNotNull()), "customer_id")
         .agg(F.count(F.lit(1)).alias("__primaries"), F.min("address_id").alias("__keep"))
         .filter(F.col("__primaries") > 1)
+        .select("__key.*", "__keep")
     )
     changed = apply_update(
         _with_facts(addresses, several), F.col("address_id") != F.col("__keep"), {"is_primary": F.lit(False)}

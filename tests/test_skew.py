@@ -160,3 +160,49 @@ def test_recent_report_filters_at_the_scan(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "order_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert [r["sales_date"] for r in out.collect()] == ["2001-07-30"]
+
+
+@pytest.fixture
+def eager_skew_split(spark):
+    """Sizes at which a third of this small fixture already counts as hot."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.files.maxPartitionBytes": "4KB",
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_hot_join_keys_are_split(spark, hot, rows, eager_skew_split):
+    from rowloom.operators.joins import drop_members, left_join_many, mark_members
+    from rowloom.operators.rowchange import Update, apply_merge
+
+    # Many input files, as a hot partition is cut along its map outputs.
+    big = spark.range(40_000).selectExpr(
+        "IF(id % 3 = 0, 'h', CAST(id % 5000 AS STRING)) AS k", "concat('text ', id) AS v"
+    ).repartition(40)
+    folder = f"{shared_folder(spark)}/many"
+    big.write.mode("overwrite").parquet(folder)
+    big = spark.read.parquet(folder)
+    few = spark.createDataFrame([("h",), ("7",), ("nobody",)], "k string")
+    source = few.withColumn("w", F.lit("new"))
+    plans = {
+        "left_join_many": left_join_many(source, big, ["k"]),
+        "drop_members": drop_members(big, "k", few),
+        "mark_members": mark_members(big, "k", few, "m"),
+        "apply_merge": apply_merge(big, source, "k", matched=[Update({"v": F.col("s.w")})]),
+    }
+    for name, df in plans.items():
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, name
+        assert len(got) == {"left_join_many": 13_334 + 5 + 1, "drop_members": 26_666 - 5}.get(name, 40_000), name
