@@ -13,12 +13,20 @@ OTHER_LINE_ENDS = ("\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028
 QUOTED_TEXT = "'[^']*+'"
 
 
+def _line_feeds(content: Column) -> Column:
+    """Line ends as a text file reader sees them."""
+    return F.when(F.contains(content, F.lit("\r")), F.regexp_replace(content, r"\r\n?", "\n")).otherwise(content)
+
+
 def file_lines(content: Column) -> Column:
     """Lines as a text file reader sees them; the usual case splits on one plain character."""
-    plain = F.when(
-        F.contains(content, F.lit("\r")), F.regexp_replace(content, r"\r\n?", "\n")
-    ).otherwise(content)
-    return F.split(plain, "\n")
+    return F.split(_line_feeds(content), "\n")
+
+
+def count_file_lines(content: Column) -> Column:
+    """Line feeds plus one."""
+    plain = _line_feeds(content)
+    return F.length(plain) - F.length(F.replace(plain, F.lit("\n"), F.lit(""))) + 1
 
 
 def one_line_end(content: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -12,9 +11,10 @@ from pyspark.sql import functions as F
 from rowloom.plans.lineage import lineage
 from rowloom.plans.lines import emrput_lines, script_keyword_lines
 from rowloom.plans.statements import query_text, split_statements, temp_objects
-from rowloom.session import shared_folder, use_utc
+from rowloom.session import use_utc
 from rowloom.sources import sinks
 from rowloom.sources.scripts import load_variables, scan_lines, scan_scripts, scan_variables
+from rowloom.sources.tables import kept
 
 
 @dataclass(frozen=True)
@@ -54,10 +54,7 @@ def run_lineage(
     variables = load_variables(scan_variables(spark, variables_file)) if variables_file else {}
 
     files = scan_scripts(spark, source_dir)
-    stage = f"{shared_folder(spark)}/statements-{uuid.uuid4().hex}"
-    cut = split_statements(files)
-    cut.write.parquet(stage)
-    statements = spark.read.schema(cut.schema).parquet(stage)
+    statements = kept(split_statements(files), "statements")
 
     lines = scan_lines(spark, source_dir)
     tables: dict[str, DataFrame] = {
@@ -67,6 +64,10 @@ def run_lineage(
         "default": script_keyword_lines(lines, ["default"]),
         "key_mst": script_keyword_lines(lines, ["key_mst"]),
     }
+    if database is not None:
+        # Written twice, computed once.
+        for part in (mode.lower(), "query_text"):
+            tables[part] = kept(tables[part], part)
     folders, rows = {}, {}
     for part, table in tables.items():
         # The run id goes to the database only.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.names import is_table_name, resolve, schema_part, table_part, tidy
-from rowloom.functions.text import QUOTED_TEXT, file_lines, has_keyword
+from rowloom.functions.text import QUOTED_TEXT, count_file_lines, has_keyword
 from rowloom.plans.lines import count_lines, has_any, job_word
 from rowloom.plans.statements import classify, split_statements, statement_texts, clean_text, temp_objects
 from rowloom.plans.tokens import STATEMENT_KEY, read_names, reads_and_ctes, spread_texts
@@ -191,7 +191,7 @@ def run_summary(files: DataFrame, mode: str = "SIMPLE") -> DataFrame:
 
     measured = {
         "queries": F.size(statement_texts(F.col("__clean"))),
-        "file_lines": F.size(file_lines(content)),
+        "file_lines": count_file_lines(content),
         "emrputf_lines": job_lines("EMRPUTF"),
         "emrput_lines": job_lines("EMRPUT"),
         "default_lines": lines_having("default"),

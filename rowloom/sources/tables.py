@@ -125,14 +125,32 @@ def write_table(df: DataFrame, folder: str, name: str, now: Column | None = None
         out.write.mode("overwrite").parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str, path: str | None = None) -> None:
-    """Save a catalog table hashed by ``key``, so joins on it need no shuffle."""
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, key: str, partition_by: Sequence[str] = (), path: str | None = None
+) -> None:
+    """Save a catalog table hashed by ``key``, so joins on it need no shuffle.
+
+    ``partition_by`` adds directories above the buckets.
+    """
     writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; left there for the cluster to clean up.
+
+    What follows reads the written rows, so a lost executor costs a re-read of its part only.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), reads_itself: bool = False) -> None:
     """Replace the rows at ``path`` by ``df``, matched by column name.
 
@@ -140,11 +158,8 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), reads_
     ``df`` is computed from ``path`` itself, the new rows are written to the shared
     folder first, so the old table is only replaced once they are complete.
     """
-    spark = df.sparkSession
     if reads_itself:
-        stage = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-        df.write.parquet(stage)
-        df = spark.read.schema(df.schema).parquet(stage)
+        df = kept(df, "overwrite")
     if partition_by:
         write_partitioned(df, path, partition_by)
     else:

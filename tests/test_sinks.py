@@ -99,6 +99,20 @@ def test_bucketed_join_needs_no_exchange(spark):
         spark.sql("DROP TABLE bucketed_order")
 
 
+def test_buckets_below_partitions(spark):
+    customers = Warehouse(spark, SMALL).raw_customer()
+    tables.write_bucketed(customers, "laid_out_customer", *tables.CUSTOMER_BUCKETS, partition_by=["country"])
+    try:
+        stored = spark.table("laid_out_customer")
+        assert stored.count() == customers.count()
+        pruned = stored.filter("country = 'NATION_1'")
+        plan = pruned._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(country" in plan
+        assert pruned.count() == customers.filter("country = 'NATION_1'").count()
+    finally:
+        spark.sql("DROP TABLE laid_out_customer")
+
+
 def test_catalog_partitions_are_dropped_by_day(spark):
     orders = tables.with_order_day(Warehouse(spark, SMALL).raw_order()).filter(
         "order_day > '1999-12-20' AND order_day < '2000-01-10'"
@@ -151,7 +165,7 @@ def test_whole_run(spark, tmp_path):
         path = source / row["dir_file"].removeprefix("/corpus/")
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(row["content"], encoding="utf-8")
-    env = tmp_path / "db_schema.env"
+    env = tmp_path / "names.env"
     env.write_text("\n".join(f"{k}={v}" for k, v in SCRIPT_VARIABLES.items()))
     out = run_lineage(spark, str(source), str(tmp_path / "out"), "2024-01-31 00:00:00", "DETAIL", str(env))
     header, data = csv_rows(out.folders["detail"])
