@@ -69,32 +69,23 @@ def daily_recent(orders: DataFrame, as_of: date, days: int = 30) -> DataFrame:
 def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places: int = 5) -> DataFrame:
     """The newest purchases of every customer.
 
-    An order fills at least one place, so only a customer's newest ``places`` orders, and of
-    an order only its first ``places`` items, can appear.  Both cuts are exact and run as
-    group limits before the shuffle, which leaves no hot key for the joins.
+    An order fills at least one place, so only a customer's newest ``places`` orders can appear,
+    and of their items only the first ``places``.  Both cuts are exact and run as group limits
+    before the shuffle by customer, so neither a hot customer nor a hot order meets in one task.
     """
-    recent = Window.partitionBy("customer_id").orderBy(*newest_first().values())
-    newest = (
-        sold_orders(orders)
-        .filter(F.col("customer_id").isNotNull())
-        .withColumn("__place", F.row_number().over(recent))
-        .filter(F.col("__place") <= places)
-        .drop("__place")
-    )
-    within = Window.partitionBy("order_id").orderBy(*item_order())
-    first_items = (
-        items.filter(F.col("order_id").isNotNull())
-        .select("order_id", *ITEM_ORDER)
-        .withColumn("__place", F.row_number().over(within))
-        .filter(F.col("__place") <= places)
-        .drop("__place")
-    )
-    rank = F.row_number().over(Window.partitionBy("customer_id").orderBy(*newest_first().values(), *item_order()))
+
+    def first_places(df: DataFrame, *order: Column) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("customer_id").orderBy(*order))
+        return df.withColumn("purchase_rank", place.cast("bigint")).filter(F.col("purchase_rank") <= places)
+
+    sold = sold_orders(orders).filter(F.col("customer_id").isNotNull())
+    newest = first_places(sold, *newest_first().values()).drop("purchase_rank")
+    in_order = (*newest_first().values(), *item_order())
+    bought = first_places(left_join_many(newest, items.select("order_id", *ITEM_ORDER), ["order_id"]), *in_order)
+    # A customer id may stand on several master rows, which share the places.
+    named = master.select("customer_id", "customer_name", "email").join(bought.drop("purchase_rank"), "customer_id")
     return (
-        master.select("customer_id", "customer_name", "email")
-        .join(newest.join(first_items, "order_id", "left"), "customer_id")
-        .withColumn("purchase_rank", rank.cast("bigint"))
-        .filter(F.col("purchase_rank") <= places)
+        first_places(named, *in_order)
         .select(
             "customer_id", "customer_name", "email", "order_id", "order_date", "total_amount", "product_id",
             "quantity", "unit_price",
