@@ -6,7 +6,7 @@ import __spark_entry__ as registered
 from checks.compare import compare, duck
 from tests.conftest import CHECKED, SMALL
 
-SQL = registered.oracle_sql()
+SQL = registered.oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(registered.queries())
+    assert set(SQL) == set(registered.own_queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, con, name):
-    rows, difference = compare(spark, CHECKED, registered.queries()[name], SQL[name], con)
+    rows, difference = compare(spark, CHECKED, registered.own_queries()[name], SQL[name], con)
     assert not difference
     assert rows > 0 or name == "d10_truncate"
 
