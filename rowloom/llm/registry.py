@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name to module.
 MODULES = {
     "op1_mixing": "mixing",
+    "op6_quality_rules": "quality_rules",
+    "op7_chat": "chat",
 }
 
 
