@@ -12,6 +12,7 @@ MODULES = {
     "op1_mixing": "mixing",
     "op6_quality_rules": "quality_rules",
     "op7_chat": "chat",
+    "op10_quality_classifier": "quality_classifier",
 }
 
 
