@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name to module.
 MODULES = {
     "op1_mixing": "mixing",
+    "op4_simhash": "simhash",
     "op6_quality_rules": "quality_rules",
     "op7_chat": "chat",
     "op10_quality_classifier": "quality_classifier",
