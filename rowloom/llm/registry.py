@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op1_mixing": "mixing",
     "op4_simhash": "simhash",
+    "op5_decontamination": "decontamination",
     "op6_quality_rules": "quality_rules",
     "op7_chat": "chat",
     "op10_quality_classifier": "quality_classifier",
