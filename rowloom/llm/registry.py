@@ -14,6 +14,7 @@ MODULES = {
     "op5_decontamination": "decontamination",
     "op6_quality_rules": "quality_rules",
     "op7_chat": "chat",
+    "op8_pii": "pii",
     "op10_quality_classifier": "quality_classifier",
 }
 
