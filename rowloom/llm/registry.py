@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query name to module.
 MODULES = {
     "op1_mixing": "mixing",
+    "op2_chunk_dedup": "chunk_dedup",
+    "op3_token_counts": "token_counts",
     "op4_simhash": "simhash",
     "op5_decontamination": "decontamination",
     "op6_quality_rules": "quality_rules",
