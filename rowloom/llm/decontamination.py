@@ -28,11 +28,8 @@ SEED_ROWS = 400_000
 
 def plain_words(text: Column) -> Column:
     """Hashes of the plain words of a text, in order; empty array without one."""
-    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\x20\x09-\x0D]", ""), F.lit(" \t\n\x0b\x0c\r"))
-    found = F.split(plain, BETWEEN)
-    return F.when(plain == "", F.array().cast("array<bigint>")).otherwise(
-        F.transform(found, lambda w: F.xxhash64(w))
-    )
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\x20\x09-\x0D]", "")
+    return F.transform(F.array_remove(F.split(plain, BETWEEN), ""), lambda w: F.xxhash64(w))
 
 
 def seeds(df: DataFrame, place: str) -> DataFrame:
@@ -49,6 +46,28 @@ def seeds(df: DataFrame, place: str) -> DataFrame:
     return windows.select("*", F.explode(F.array(*hashed)).alias("seed"))
 
 
+def passages() -> Column:
+    """The best run of ``SPAN`` words around a hit as an array of (n, at), empty if too few of them agree.
+
+    ``at`` is its start before the hit: it holds the whole seed, so it starts up to three words earlier.  As a
+    function of arrays this stays out of the generated loop that hashes and probes, which the compiler would otherwise
+    refuse as too large.
+    """
+    first = SEED - SPAN
+
+    def agree(k: Column) -> Column:
+        same = F.get("words", F.col("place") + k) == F.get("item_words", F.col("at") + k)
+        return F.coalesce(same.cast("int"), F.lit(0))
+
+    def run(a: Column) -> Column:
+        places = F.sequence(a, a + (SPAN - 1))
+        return F.struct(F.aggregate(places, F.lit(0), lambda acc, k: acc + agree(k)).alias("n"), a.alias("at"))
+
+    needed = F.ceil(F.least(F.size("item_words"), F.lit(SPAN)) * AGREE / SPAN)
+    best = F.array_max(F.transform(F.sequence(F.lit(first), F.lit(0)), run))
+    return F.filter(F.array(best), lambda x: x["n"] >= needed)
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -72,20 +91,12 @@ def find_leaks(
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), plain_words(text_of(text_col)).alias("words"))
     hits = seeds(texts, "place").join(bounded(tests, SEED_ROWS), "seed")
-    around = range(SEED - SPAN, SPAN)
-    agree = {
-        k: F.coalesce((F.get("words", F.col("place") + k) == F.get("item_words", F.col("at") + k)).cast("int"), F.lit(0))
-        for k in around
-    }
-    # A passage holds the whole seed, so it starts up to three words before it.
-    starts = range(SEED - SPAN, 1)
-    best = F.greatest(*[F.struct(sum((agree[a + k] for k in range(SPAN)), F.lit(0)).alias("n"), F.lit(a).alias("a")) for a in starts])
-    needed = F.ceil(F.least(F.size("item_words"), F.lit(SPAN)) * AGREE / SPAN)
     found = hits.select(
-        "doc_id", "item_id", "place", best.alias("best"), needed.alias("needed"), F.size("words").alias("n_words")
-    ).filter(F.col("best.n") >= F.col("needed"))
-    first = F.greatest(F.col("place") + F.col("best.a"), F.lit(0))
-    last = F.least(F.col("place") + F.col("best.a") + SPAN, F.col("n_words")) - 1
+        "doc_id", "item_id", "place", F.size("words").alias("n_words"), F.explode(passages()).alias("passage")
+    )
+    first_word = F.col("place") + F.col("passage.at")
+    first = F.greatest(first_word, F.lit(0))
+    last = F.least(first_word + SPAN, F.col("n_words")) - 1
     return found.groupBy("doc_id", "item_id").agg(F.min(first).alias("first_word"), F.max(last).alias("last_word"))
 
 
