@@ -17,6 +17,7 @@ MODULES = {
     "op6_quality_rules": "quality_rules",
     "op7_chat": "chat",
     "op8_pii": "pii",
+    "op9_suffix_dedup": "suffix_dedup",
     "op10_quality_classifier": "quality_classifier",
 }
 
