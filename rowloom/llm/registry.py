@@ -22,10 +22,17 @@ MODULES = {
 }
 
 
+def _pipeline():
+    import corpus_pipeline
+
+    return corpus_pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: importlib.import_module(f"rowloom.llm.{module}").query for name, module in MODULES.items()}
+    found = {name: importlib.import_module(f"rowloom.llm.{module}").query for name, module in MODULES.items()}
+    return {**found, "pipeline": _pipeline().run}
 
 
 def oracle_sql() -> dict[str, str]:
     found = {name: importlib.import_module(f"rowloom.llm.{module}").ORACLE_SQL for name, module in MODULES.items()}
-    return {name: sql for name, sql in found.items() if sql}
+    return {name: sql for name, sql in {**found, "pipeline": _pipeline().ORACLE_SQL}.items() if sql}

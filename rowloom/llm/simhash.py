@@ -170,11 +170,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """The rows of ``docs`` that are the first of their group; rows with a null id stay."""
     found = near_duplicates(docs, id_col, text_col, shingle)
     first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(first, docs[id_col] == first["first_id"], "left_semi")
+    return docs.join(first, docs[id_col] == first["first_id"], "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
