@@ -28,7 +28,7 @@ MASK = np.uint16(0b1111_1000_0000_0000)
 #: Bytes of the hash's window, and the longest chunk.
 WINDOW, LONGEST = 16, 256
 #: Bytes from which a run of repeated chunks is removed.
-RUN = 120
+RUN = 100
 #: One number per byte value, from a hash of the value.
 GEAR = np.array([xxh64_intdigest(bytes([b]), 1) & 0xFFFF for b in range(256)], np.uint16)
 
@@ -127,7 +127,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A cut inside a character, possible where two texts share some of its bytes, drops that character.
     """
-    found = repeated_runs(docs, id_col, text_col, run).select(F.col("doc_id").alias("__id"), F.col("runs").alias("__runs"))
+    found = repeated_runs(docs, id_col, text_col, run).select(F.col("doc_id").alias("found_id"), "runs")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, runs: pd.Series) -> pd.Series:
@@ -143,8 +143,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             made.append(b"".join([*out, data[at:]]).decode("utf-8", "ignore"))
         return pd.Series(made, dtype=object)
 
-    joined = docs.join(found, docs[id_col] == found["__id"], "left")
-    return joined.withColumn(text_col, cut(F.col(text_col), F.col("__runs"))).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    joined = whole.join(found, F.col("id") == F.col("found_id"), "left")
+    return joined.select(
+        *[cut(F.col("text"), F.col("runs")).alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    )
 
 
 def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:

@@ -78,9 +78,9 @@ def find_leaks(
 ) -> DataFrame:
     """One row per document and item that share a passage: ``doc_id, item_id, first_word, last_word``.
 
-    The two numbers bound the shared words in the document, plain words counted from 0.  Items of 9 to 11
-    plain words must agree as a whole in five of six places; shorter items prove nothing and never
-    match.  Null texts count as empty.  Null ids are ids like others.  Repeated rows give one row together.  Empty tables give no rows.
+    The two numbers bound the shared words in the document, plain words counted from 0.  Of items of 9 to 11
+    plain words five of six must agree, and a seed must hit (sure without a substitution); shorter items prove nothing and
+    never match.  Null texts count as empty.  Null ids are ids like others.  Repeated rows give one row together.  Empty tables give no rows.
     Other columns are not read.
     """
     items = benchmark.select(

@@ -333,9 +333,11 @@ def remove_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     The texts are scanned twice, once for the cells and once for the spans, and never shuffled.
     """
-    scanned = scan(docs, text_col)
-    spanned = with_spans(scanned, boost(cells(scanned, id_col)))
-    return spanned.withColumn(text_col, redact(F.col(text_col), F.col("spans"))).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    scanned = scan(whole)
+    spanned = with_spans(scanned, boost(cells(scanned, "doc_id")))
+    cleaned = redact(F.col("text"), F.col("spans"))
+    return spanned.select(*[cleaned.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def _listed(spans: Column) -> Column:

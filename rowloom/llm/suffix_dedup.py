@@ -3,12 +3,12 @@
 Every byte covered by a string of ``LENGTH`` bytes that also starts in a document with a smaller id is found.
 
 Texts are cut into overlapping segments by minimizers: a string of ``LENGTH`` bytes is named by the smallest hash of the
-``ANCHOR``-byte strings in it, and a segment holds all strings around one such anchor.  Equal strings have equal anchors, so
-segments are dealt to blocks by anchor and blocks are independent; their number grows with the bytes of the corpus, so a block
-stays small.  Strings never cross a segment, and segments never cross a document.
+``ANCHOR``-byte strings in it, and a segment holds all strings around one such anchor.  Equal strings have equal anchors.  So
+anchors are compared first, a few packed bytes each; only segments whose anchor is in several documents are dealt to
+blocks, by anchor, and blocks are independent.  The number of blocks grows with the bytes of the corpus, so a block stays
+small.  Strings never cross a segment, and segments never cross a document.
 
-In a block, segments whose anchor occurs in one document only are dropped, equal segments are one text of the smallest
-document, and the transform of the rest is expanded: starting from the empty string, intervals of suffixes are extended
+In a block, equal segments are one text of the smallest document, and the transform of all texts is expanded: starting from the empty string, intervals of suffixes are extended
 backwards by one byte, breadth first, and each right end that is new sets a common-prefix length (Beller and others,
 2013).  Lengths come in increasing order, so the expansion stops at ``LENGTH``; suffixes without a boundary
 between them then share that many bytes.
@@ -195,21 +195,20 @@ def repeated_in_block(
 
 
 def _pack(*parts: np.ndarray) -> bytes:
-    """Arrays as one compressed value."""
+    """Arrays as one compressed value, the bytes of equal weight next to each other."""
     raw = [np.ascontiguousarray(p) for p in parts]
-    head = struct.pack(f"<{len(raw)}q", *(p.nbytes for p in raw))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(p.tobytes() for p in raw))
+    planes = [r.view(np.uint8).reshape(-1, r.itemsize).T.tobytes() for r in raw]
+    head = struct.pack(f"<{len(raw)}q", *map(len, planes))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
-TYPES = (np.uint32, np.int64, np.int32, np.int32, np.uint8)
-
-
-def _unpack(blob: bytes) -> list[np.ndarray]:
+def _unpack(blob: bytes, *types: type) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    sizes = struct.unpack_from(f"<{len(TYPES)}q", raw)
-    at, out = 8 * len(TYPES), []
-    for kind, size in zip(TYPES, sizes, strict=True):
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+    at, out = 8 * len(types), []
+    for kind, size in zip(types, struct.unpack_from(f"<{len(types)}q", raw), strict=True):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size, at).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += size
     return out
 
@@ -239,42 +238,93 @@ def _cut(part: list[tuple[int, bytes]], length: int):
     return [np.concatenate(x) for x in zip(*found, strict=True)], data
 
 
+def _by_block(anchors: np.ndarray, blocks: int, within: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The places ``within`` by block of their anchors."""
+    block = ((anchors[within] >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+    order = np.argsort(block, kind="stable")
+    if len(order):
+        heads = np.flatnonzero(np.append(True, block[order][1:] != block[order][:-1]))
+        yield from zip(block[order][heads].tolist(), np.split(within[order], heads[1:]), strict=True)
+
+
+def shared_anchors(docs: DataFrame, length: int, blocks: int, apart: np.ndarray) -> DataFrame:
+    """``shared_id, anchors`` (their lower halves) of the documents with anchors that other documents have too."""
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for part in _texts(rows):
+                (anchors, ids, *_), _ = _cut(part, length)
+                kept_here = np.flatnonzero(~np.isin(anchors, apart)) if len(apart) else np.arange(len(anchors))
+                made = []
+                for block, some in _by_block(anchors, blocks, kept_here):
+                    # An anchor counts once in a document; sorted, differences of neighbours are small.
+                    some = some[np.lexsort((ids[some], anchors[some].astype(np.uint32)))]
+                    low, of = anchors[some].astype(np.uint32), ids[some]
+                    once = np.append(True, (low[1:] != low[:-1]) | (of[1:] != of[:-1]))
+                    low, of = low[once], of[once]
+                    made.append((block, _pack(np.diff(low, prepend=np.uint32(0)), of)))
+                yield pd.DataFrame(made, columns=["block", "blob"])
+
+    def in_block(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [_unpack(b, np.uint32, np.int64) for b in rows["blob"]]
+        low = np.concatenate([np.cumsum(p[0], dtype=np.uint32) for p in parts])
+        ids = np.concatenate([p[1] for p in parts])
+        order = np.argsort(low, kind="stable")
+        low, ids = low[order], ids[order]
+        heads = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        several = np.minimum.reduceat(ids, heads) < np.maximum.reduceat(ids, heads)
+        chosen = np.repeat(several, np.diff(np.append(heads, len(low))))
+        return pd.DataFrame({"shared_id": ids[chosen], "anchor": low[chosen].view(np.int32)})
+
+    dealt = docs.mapInPandas(deal, "block long, blob binary").groupBy("block")
+    found = dealt.applyInPandas(in_block, "shared_id long, anchor int")
+    return found.groupBy("shared_id").agg(F.collect_list("anchor").alias("anchors"))
+
+
 def repeated_stretches(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, start, end`` in bytes of repeated stretches of ``docs`` (doc_id, text), overlapping and in no order."""
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(8, -(-total // block_bytes))
-    often = hot_anchors(docs, length, hot)
-    apart = np.array(sorted(often), np.uint64)
+    apart = np.array(sorted(hot_anchors(docs, length, hot)), np.uint64)
+    shared = shared_anchors(docs, length, blocks, apart)
+    texts = docs.join(shared, F.col("doc_id") == F.col("shared_id")).select("doc_id", "text", "anchors")
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
+            at = 0
             for part in _texts(rows):
                 (anchors, ids, starts, sizes, places), data = _cut(part, length)
-                block = ((anchors >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
-                order = np.argsort(block, kind="stable")
-                if len(apart):
-                    order = order[~np.isin(anchors[order], apart)]
-                if not len(order):
-                    continue
-                heads = np.flatnonzero(np.append(True, block[order][1:] != block[order][:-1]))
-                blobs = []
-                for some in np.split(order, heads[1:]):
-                    blobs.append(
+                lists = rows["anchors"].iloc[at : at + len(part)]
+                at += len(part)
+                # Per document, by its place in the part: its number above the anchor makes one sorted search of all.
+                number = np.repeat(np.arange(len(part)), [len(x) for x in lists]).astype(np.uint64) << np.uint64(32)
+                wanted = np.sort(number | np.concatenate([np.asarray(x, np.int32).view(np.uint32) for x in lists]))
+                sizes_of = [0, *np.cumsum([len(d) for _, d in part]).tolist()]
+                own = (np.searchsorted(sizes_of, places, side="right") - 1).astype(np.uint64) << np.uint64(32)
+                own |= anchors & np.uint64(0xFFFFFFFF)
+                spot = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+                chosen = np.flatnonzero(wanted[spot] == own)
+                made = [
+                    (
+                        block,
                         _pack(
                             anchors[some].astype(np.uint32), ids[some], starts[some].astype(np.int32),
                             sizes[some].astype(np.int32), data[_ranges(places[some], sizes[some])],
-                        )
-                    )
-                yield pd.DataFrame({"block": block[order][heads], "blob": blobs})
+                        ),
+                    )
+                    for block, some in _by_block(anchors, blocks, chosen)
+                ]
+                yield pd.DataFrame(made, columns=["block", "blob"])
 
     def in_block(rows: pd.DataFrame) -> pd.DataFrame:
-        arrays = [np.concatenate(x) for x in zip(*map(_unpack, rows["blob"]), strict=True)]
+        kinds = (np.uint32, np.int64, np.int32, np.int32, np.uint8)
+        arrays = [np.concatenate(x) for x in zip(*(_unpack(b, *kinds) for b in rows["blob"]), strict=True)]
         anchors, ids, starts, sizes, data = arrays
         found = repeated_in_block(anchors, ids, starts.astype(np.int64), sizes.astype(np.int64), data, length)
         return pd.DataFrame(dict(zip(("doc_id", "start", "end"), found, strict=True)))
 
     spans = "doc_id long, start int, end int"
-    cold = docs.mapInPandas(deal, "block long, blob binary").groupBy("block").applyInPandas(in_block, spans)
+    cold = texts.mapInPandas(deal, "block long, blob binary").groupBy("block").applyInPandas(in_block, spans)
     if not len(apart):
         return cold
     return cold.unionByName(_hot_stretches(docs, apart, length))
@@ -347,7 +397,9 @@ def suffix_dedup(
     should be distinct.  Texts below ``length`` bytes keep all.  Empty input gives no rows.  Other columns are not read.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    found = repeated_stretches(slim.filter("doc_id IS NOT NULL"), length, hot, block_bytes)
+    # Both joins with the texts are by id, so the texts are shuffled once.
+    named = slim.filter("doc_id IS NOT NULL")
+    found = repeated_stretches(named, length, hot, block_bytes)
     stretches = (
         found.groupBy(F.col("doc_id").alias("found_id"))
         .agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
@@ -370,7 +422,8 @@ def suffix_dedup(
             out.insert(0, "doc_id", rows["doc_id"].to_numpy())
             yield out
 
-    joined = slim.join(stretches, F.col("doc_id") == F.col("found_id"), "left").drop("found_id")
+    unnamed = slim.filter("doc_id IS NULL").select("*", *[F.lit(None).cast("array<int>").alias(c) for c in ("starts", "ends")])
+    joined = named.join(stretches, F.col("doc_id") == F.col("found_id"), "left").drop("found_id").unionByName(unnamed)
     columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return joined.mapInPandas(cut, columns)
 

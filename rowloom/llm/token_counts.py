@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm.common import table, text_of
@@ -223,13 +223,14 @@ def sample_edits(docs: DataFrame) -> DataFrame:
     n = F.length(text_of("text"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(n, F.lit(1))).cast("int")
     other = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.greatest(n, F.lit(1))).cast("int")
+    length = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(41)).cast("int")
+
+    def step(n: int, start: Column, end: Column, put: Column) -> Column:
+        return F.struct(F.lit(n).alias("step"), start.alias("start"), end.alias("end"), put.alias("put"))
+
+    put_in = F.concat(F.lit(" edit-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return docs.select(
-        "doc_id",
-        "text",
-        F.array(
-            F.struct(F.lit(1).alias("step"), draw.alias("start"), draw.alias("end"), F.concat(F.lit(" edit-"), F.col("doc_id").cast("string")).alias("put")),
-            F.struct(F.lit(2), other, (other + F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(41))).cast("int"), F.lit("")),
-        ).alias("edits"),
+        "doc_id", "text", F.array(step(1, draw, draw, put_in), step(2, other, other + length, F.lit(""))).alias("edits")
     )
 
 
