@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,3 +52,21 @@ def has_keyword(text: Column, keyword: Column | str, case_sensitive: bool = Fals
     if case_sensitive:
         return F.contains(text, word)
     return F.contains(F.lower(text), F.lower(word))
+
+
+def lead(words: str) -> str:
+    """A regular expression of a phrase and the white space behind it.
+
+    Words follow each other, ``A|B`` is one of several, ``[X Y]`` may be missing.
+    """
+
+    def run(text: str) -> str:
+        return "".join((f"(?:{w})" if "|" in w else w) + r"\s++" for w in text.split())
+
+    parts = re.findall(r"\[[^\]]*\]|\S+", words)
+    return "".join(f"(?:{run(p[1:-1])})?" if p[0] == "[" else run(p) for p in parts)
+
+
+def phrase(words: str) -> str:
+    """The same without white space behind its last word, which must not be optional."""
+    return lead(words).removesuffix(r"\s++")

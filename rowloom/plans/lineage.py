@@ -8,26 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.names import is_table_name, resolve, schema_part, table_part, tidy
-from rowloom.functions.text import QUOTED_TEXT, count_file_lines, has_keyword
+from rowloom.functions.text import QUOTED_TEXT, count_file_lines, has_keyword, lead
 from rowloom.plans.lines import count_lines, has_any, job_word
-from rowloom.plans.statements import classify, split_statements, statement_texts, clean_text, temp_objects
+from rowloom.plans.statements import CREATED, clean_text, classify, split_statements, statement_texts
 from rowloom.plans.tokens import STATEMENT_KEY, read_names, reads_and_ctes, spread_texts
 from rowloom.sources.scripts import split_path
 
 # What stands in front of the name of a changed object.
 TARGET_LEADS = (
-    r"INSERT\s+(?:INTO|OVERWRITE)\s+(?:TABLE\s+)?",
-    r"CREATE\s+(?:OR\s+REPLACE\s+)?(?:GLOBAL\s+)?(?:TEMPORARY\s+|TEMP\s+)?(?:TABLE|VIEW)\s+(?:IF\s+NOT\s+EXISTS\s+)?",
-    r"(?<!\b(?:ON|FOR)\s{1,9})UPDATE\s+",
-    r"DELETE\s+FROM\s+",
-    r"MERGE\s+(?:INTO\s+)?",
-    r"ALTER\s+(?:TABLE|VIEW)\s+",
-    r"REPLACE\s+VIEW\s+",
-    r"UPSERT\s+(?:INTO\s+)?",
-    r"TRUNCATE\s+TABLE\s+",
-    r"DROP\s+(?:TABLE|VIEW)\s+(?:IF\s+EXISTS\s+)?",
-)
-TARGET = rf"(?isU)\b(?:{'|'.join(TARGET_LEADS)})([^\s(;]+)"
+    "INSERT INTO|OVERWRITE [TABLE]", f"{CREATED} [IF NOT EXISTS]", "UPDATE", "DELETE FROM", "MERGE [INTO]",
+    "ALTER TABLE|VIEW", "REPLACE VIEW", "UPSERT [INTO]", "TRUNCATE TABLE", "DROP TABLE|VIEW [IF EXISTS]",
+)
+# ON UPDATE and FOR UPDATE change nothing; they are taken as one piece, however much white space they hold.
+NO_CHANGE = r"(?:ON|FOR)\s++UPDATE\b"
+TARGET = rf"(?isU)\b(?:{NO_CHANGE}|(?:{'|'.join(map(lead, TARGET_LEADS))})([^\s(;]+))"
 
 # Words that may follow in place of a name.
 NO_TARGET = (
@@ -62,10 +56,23 @@ def statement_facts(statements: DataFrame) -> DataFrame:
 
 
 def cte_depths() -> Column:
-    """WITH name → 1 + the largest depth of the names it reads; one fold over ``ctes`` in written order."""
+    """WITH name → 1 + the largest depth of the names it reads, whatever order they are written in.
+
+    A name that is read by what it reads, itself included, counts as depth 1 there.  ``reach`` is the closure of the
+    reads, doubled until it must be complete; depths are repeated once per name, the longest path there can be.
+    """
     return F.expr(
-        """aggregate(ctes, CAST(map() AS MAP<STRING, INT>), (known, c) -> map_concat(known, map(c, 1 + coalesce(
-               array_max(transform(filter(reads, r -> r.owner = c), r -> try_element_at(known, upper(r.name)))), 0))))"""
+        """aggregate(array(map_from_arrays(ctes, transform(ctes, c -> array_intersect(ctes, transform(
+                         filter(reads, r -> r.owner = c), r -> upper(r.name)))))),
+             CAST(map() AS MAP<STRING, INT>),
+             (nothing, direct) -> aggregate(
+               array(aggregate(sequence(0, CAST(ceil(log2(size(ctes) + 1)) AS INT)), direct,
+                     (reach, i) -> transform_values(reach, (c, seen) ->
+                         array_union(seen, flatten(transform(seen, s -> reach[s])))))),
+               nothing,
+               (none, reach) -> aggregate(sequence(1, size(ctes)), map_from_arrays(ctes, transform(ctes, c -> 1)),
+                     (depth, i) -> transform_values(depth, (c, d) -> 1 + coalesce(array_max(transform(direct[c],
+                         s -> IF(array_contains(reach[s], c), 1, depth[s]))), 0)))))"""
     )
 
 
@@ -150,6 +157,7 @@ def with_resolved_names(rows: DataFrame, variables: Mapping[str, str]) -> DataFr
     return out
 
 
+# The columns of the lineage table in order.
 LINEAGE_COLUMNS = (
     "run_id", "base_directory", "file_name", "dir_file", "crud_type", "sql_type", "source_table", "source_type",
     "target_table", "target_type", "depth", "src_schema", "src_table", "tgt_schema", "tgt_table", "op_dtm",
