@@ -64,8 +64,10 @@ class Warehouse:
         return self._shaped(df, "raw_customer")
 
     def raw_address(self) -> DataFrame:
-        df = self._people().withColumn("n", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).selectExpr(
-            "concat(customer_id, '-', CAST(n AS STRING)) AS address_id",
+        # Every tenth customer has a surplus address, some of these without an id.
+        places = F.expr("IF(k % 10 = 0, array(0, 1, 2, 3), array(0, 1, 2))")
+        df = self._people().withColumn("n", F.explode(places)).selectExpr(
+            "IF(n = 3 AND k % 70 = 0, NULL, concat(customer_id, '-', CAST(n AS STRING))) AS address_id",
             "customer_id",
             "concat('street ', CAST(k % 50 AS STRING)) AS street_address",
             "concat('city ', CAST(k % 20 AS STRING)) AS city",
@@ -136,10 +138,11 @@ class Warehouse:
         return self._shaped(df, "customer_master")
 
     def customer_master_dup(self) -> DataFrame:
-        master = self.customer_master().select("customer_id", "customer_name", "updated_at")
-        second = master.filter("CAST(customer_id AS BIGINT) % 41 = 0").selectExpr(
-            "customer_id", "concat(customer_name, ' v2') AS customer_name",
-            "TIMESTAMP '2001-08-02 00:00:00' AS updated_at",
+        master = self.customer_master()
+        second = (
+            master.filter("CAST(customer_id AS BIGINT) % 41 = 0")
+            .withColumn("customer_name", F.expr("concat(customer_name, ' v2')"))
+            .withColumn("updated_at", F.expr("TIMESTAMP '2001-08-02 00:00:00'"))
         )
         return master.unionByName(second)
 

@@ -19,7 +19,7 @@ SELECT CAST(c_custkey AS STRING) AS customer_id,
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """,
     "raw_address": """
-SELECT concat(CAST(c_custkey AS STRING), '-', CAST(k AS STRING)) AS address_id,
+SELECT CASE WHEN k < 3 OR c_custkey % 70 <> 0 THEN concat(CAST(c_custkey AS STRING), '-', CAST(k AS STRING)) END AS address_id,
        CAST(c_custkey AS STRING) AS customer_id,
        concat('street ', CAST(c_custkey % 50 AS STRING)) AS street_address,
        concat('city ', CAST(c_custkey % 20 AS STRING)) AS city,
@@ -30,7 +30,8 @@ SELECT concat(CAST(c_custkey AS STRING), '-', CAST(k AS STRING)) AS address_id,
        CASE WHEN k = 2 THEN 'SHIP' ELSE 'HOME' END AS address_type,
        TIMESTAMP '2001-01-01 00:00:00' AS created_at
 FROM customer JOIN nation ON c_nationkey = n_nationkey
-CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) ks
+CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) ks
+WHERE k < 3 OR c_custkey % 10 = 0
 """,
     "raw_order": """
 SELECT CAST(o_orderkey AS STRING) AS order_id,
@@ -80,9 +81,9 @@ LEFT JOIN (SELECT CAST(o_custkey AS STRING) AS customer_id, max(CAST(o_orderdate
            FROM orders GROUP BY o_custkey) a ON a.customer_id = b.customer_id
 """,
     "customer_master_dup": """
-SELECT customer_id, customer_name, updated_at FROM customer_master
+SELECT * FROM customer_master
 UNION ALL
-SELECT customer_id, concat(customer_name, ' v2'), TIMESTAMP '2001-08-02 00:00:00'
+SELECT * REPLACE (concat(customer_name, ' v2') AS customer_name, TIMESTAMP '2001-08-02 00:00:00' AS updated_at)
 FROM customer_master WHERE CAST(customer_id AS BIGINT) % 41 = 0
 """,
     "customer_staging": """
@@ -477,7 +478,6 @@ DELETES = {
     "d09_failed_log": (
         _kept("data_quality_log", "result = 'FAILED' AND checked_at < TIMESTAMP '2024-02-15 00:00:00' - INTERVAL 30 DAY"),
         "data_quality_log"),
-    "d10_truncate": ("SELECT * FROM order_staging LIMIT 0", "order_staging"),
     "d11_cascade_addresses": (
         _kept("raw_address", """customer_id IN (SELECT customer_id FROM customer_master
               WHERE is_deleted = TRUE OR country = 'UNKNOWN')"""), "raw_address", "customer_master"),
@@ -494,7 +494,7 @@ DELETES = {
                SELECT customer_id, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) AS rn
                FROM customer_master_dup) WHERE rn > 1)""", "customer_master_dup"),
     "d16_dups_keep_latest": (
-        """SELECT customer_id, customer_name, updated_at FROM (
+        """SELECT * EXCLUDE (rn) FROM (
                SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) AS rn
                FROM customer_master_dup) WHERE rn = 1""", "customer_master_dup"),
     "d17_bad_items": (

@@ -41,12 +41,14 @@ def _substitute(name: Column, pattern: str, variables: Column) -> Column:
     return F.array_join(known, "")
 
 
-def resolve(name: Column, variables: Mapping[str, str]) -> Column:
-    """``name`` with ``${X}`` and then ``$X`` replaced by the value of X."""
-    if not variables:
-        return name
+def map_of(variables: Mapping[str, str]) -> Column:
     pairs = [F.lit(part) for pair in sorted(variables.items()) for part in pair]
-    table = F.create_map(*pairs)
+    return F.create_map(*pairs) if pairs else F.map_from_arrays(*[F.array().cast("array<string>")] * 2)
+
+
+def resolve(name: Column, variables: Mapping[str, str] | Column) -> Column:
+    """``name`` with ``${X}`` and then ``$X`` replaced by the value of X; ``variables`` may be a map column."""
+    table = variables if isinstance(variables, Column) else map_of(variables)
     braced = _substitute(name, r"\$\{\w+\}", table)
     bare = _substitute(braced, r"\$\w+", table)
     return F.when(F.contains(name, F.lit("$")), bare).otherwise(name)

@@ -24,6 +24,11 @@ def old_failed(orders: DataFrame, as_of: date) -> DataFrame:
     return apply_delete(orders, _before("order_date", as_of, 365) & F.col("order_status").isin("CANCELLED", "FAILED"))
 
 
+def failed_days(as_of: date) -> Column:
+    """The order partitions that ``old_failed`` may change."""
+    return F.col("order_day") < F.lit(as_of - timedelta(days=365))
+
+
 def orphan_orders(orders: DataFrame, master: DataFrame) -> DataFrame:
     """Orders of unknown customers go; those without a customer stay (NULL is not NOT IN)."""
     marked = not_in(orders, "customer_id", master.select("customer_id"), "__orphan")

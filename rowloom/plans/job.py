@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.plans.lineage import lineage
-from rowloom.plans.lines import emrput_lines, script_keyword_lines
-from rowloom.plans.statements import query_text, split_statements, temp_objects
+from rowloom.plans.lines import JOB_WORDS, KEYWORDS, emrput_lines, has_any, script_keyword_lines
+from rowloom.plans.statements import EXCLUDED, query_text, split_statements, temp_objects
 from rowloom.session import use_utc
 from rowloom.sources import sinks
-from rowloom.sources.scripts import load_variables, scan_lines, scan_scripts, scan_variables
+from rowloom.sources.scripts import check_hidden, list_scripts, scan_lines, scan_scripts, scan_variables, variable_map
 from rowloom.sources.tables import kept
 
 
@@ -42,21 +42,28 @@ def run_lineage(
     variables_file: str | None = None,
     program: str = "script_lineage",
     database: Database | None = None,
+    excluded: Sequence[str] = EXCLUDED,
+    skip_hidden: bool = False,
 ) -> Outputs:
     """Read every script below ``source_dir`` and write all outputs of a run.
 
     ``op_dtm`` is the stamp of the run, ``YYYY-MM-DD HH:MM:SS``.  The statements are cut out
     once and kept as a table in the shared folder: lineage and statement text both read that
-    table, and a lost executor costs a re-read, not the scan.
+    table, and a lost executor costs a re-read, not the scan.  ``excluded`` are texts whose statements are left out.
+    Scripts whose names Spark does not read fail the run unless ``skip_hidden``; empty files count as files.
     """
     use_utc(spark)
     run_id = op_dtm.replace("-", "").replace(":", "").replace(" ", "_")
-    variables = load_variables(scan_variables(spark, variables_file)) if variables_file else {}
+    variables = variable_map(scan_variables(spark, variables_file)) if variables_file else {}
+    listing = list_scripts(spark, source_dir)
+    check_hidden(listing, skip_hidden)
 
-    files = scan_scripts(spark, source_dir)
-    statements = kept(split_statements(files), "statements")
+    files = scan_scripts(spark, source_dir, skip_hidden)
+    statements = kept(split_statements(files, excluded), "statements")
 
-    lines = scan_lines(spark, source_dir)
+    # One pass over the lines for all words; the outputs below are parts of the kept hits.
+    wanted = has_any(F.col("line"), KEYWORDS) | has_any(F.col("line"), JOB_WORDS, case_sensitive=True)
+    lines = kept(scan_lines(spark, source_dir).filter(wanted), "lines")
     tables: dict[str, DataFrame] = {
         mode.lower(): lineage(statements, temp_objects(files), variables, mode, run_id, op_dtm),
         "query_text": query_text(statements, op_dtm),
@@ -84,6 +91,6 @@ def run_lineage(
         sinks.write_database(
             tables["query_text"], database.url, f"{name}_query_text", database.properties, sinks.QUERY_TEXT_TYPES
         )
-    sizes = files.agg(F.count(F.lit(1)).alias("n")).first()
-    rows["files"] = sizes["n"]
+    rows["files"] = listing.scripts
+    rows["hidden_files"] = listing.hidden
     return Outputs(folders, rows)

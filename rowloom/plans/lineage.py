@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.functions.names import is_table_name, resolve, schema_part, table_part, tidy
+from rowloom.functions.names import is_table_name, map_of, resolve, schema_part, table_part, tidy
 from rowloom.functions.text import QUOTED_TEXT, count_file_lines, has_keyword, lead
 from rowloom.plans.lines import count_lines, has_any, job_word
 from rowloom.plans.statements import CREATED, clean_text, classify, split_statements, statement_texts
@@ -146,15 +146,15 @@ def with_object_types(rows: DataFrame, temps: DataFrame) -> DataFrame:
     return rows
 
 
-def with_resolved_names(rows: DataFrame, variables: Mapping[str, str]) -> DataFrame:
+def with_resolved_names(rows: DataFrame, variables: Mapping[str, str] | Column) -> DataFrame:
     """Empty text for a missing side, and schema and table of both names, variables replaced."""
-    out = rows
+    # As a column, since a subquery cannot stand inside the functions that look names up.
+    out = rows.withColumn("__variables", variables if isinstance(variables, Column) else map_of(variables))
     for side, short in (("source", "src"), ("target", "tgt")):
-        name = F.coalesce(F.col(side), F.lit(""))
-        out = out.withColumn(f"{side}_table", name)
-        resolved = resolve(F.col(f"{side}_table"), variables)
+        out = out.withColumn(f"{side}_table", F.coalesce(F.col(side), F.lit("")))
+        resolved = resolve(F.col(f"{side}_table"), F.col("__variables"))
         out = out.withColumn(f"{short}_schema", schema_part(resolved)).withColumn(f"{short}_table", table_part(resolved))
-    return out
+    return out.drop("__variables")
 
 
 # The columns of the lineage table in order.
@@ -167,7 +167,7 @@ LINEAGE_COLUMNS = (
 def lineage(
     statements: DataFrame,
     temps: DataFrame,
-    variables: Mapping[str, str],
+    variables: Mapping[str, str] | Column,
     mode: str,
     run_id: str,
     op_dtm: str,

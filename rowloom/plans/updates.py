@@ -107,6 +107,11 @@ def expire_orders(orders: DataFrame, as_of: date, now: datetime) -> DataFrame:
     )
 
 
+def expired_days(as_of: date) -> Column:
+    """The order partitions that ``expire_orders`` may change."""
+    return F.col("order_day") >= F.lit(as_of - timedelta(days=30))
+
+
 def recount_recent(master: DataFrame, orders: DataFrame, as_of: date, now: datetime) -> DataFrame:
     """Recount all orders of customers with one in the last 90 days."""
     facts = _orders_by_customer(orders, __orders=F.count(F.lit(1)), __last=F.max("order_date"))
@@ -119,10 +124,14 @@ def recount_recent(master: DataFrame, orders: DataFrame, as_of: date, now: datet
 
 def last_order(master: DataFrame, orders: DataFrame, as_of: date, now: datetime) -> DataFrame:
     """Set the last order date of customers with an order in the last 30 days."""
-    facts = _orders_by_customer(orders, __last=F.max("order_date"))
-    recent = F.col("__last") >= F.lit(as_of - timedelta(days=30)).cast("timestamp")
+    # An order in the last 30 days is newer than all others, so only these are read.
+    since = as_of - timedelta(days=30)
+    recent = F.col("order_date") >= F.lit(since).cast("timestamp")
+    if "order_day" in orders.columns:
+        recent = recent & (F.col("order_day") >= F.lit(since))
+    facts = _orders_by_customer(orders.filter(recent), __last=F.max("order_date"))
     changed = apply_update(
-        _with_facts(master, facts), recent, {"last_order_date": F.col("__last"), "updated_at": F.lit(now)}
+        _with_facts(master, facts), F.col("__last").isNotNull(), {"last_order_date": F.col("__last"), "updated_at": F.lit(now)}
     )
     return changed.select(*master.columns)
 
@@ -206,3 +215,8 @@ def merge_aggregated(master: DataFrame, staging: DataFrame, orders: DataFrame, n
             Insert({**{c: F.col(f"s.{c}") for c in fields}, **totals, "created_at": F.lit(now), "updated_at": F.lit(now)})
         ],
     )
+
+
+def logged_tables(table: str = "customer_master") -> Column:
+    """The log partitions that ``log_status`` may change."""
+    return F.col("table_name") == table

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +42,50 @@ def _reader(spark: SparkSession) -> DataFrameReader:
     return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _file_filter())
 
 
-def scan_scripts(spark: SparkSession, folder: str) -> DataFrame:
+@dataclass(frozen=True)
+class Listing:
+    """How many scripts a folder holds, and how many of them Spark's readers never see."""
+
+    scripts: int
+    empty: int
+    hidden: int
+
+
+def list_scripts(spark: SparkSession, folder: str) -> Listing:
+    """Count the scripts below ``folder`` by name and size; no file is opened.
+
+    A script is hidden if its name, or that of a folder between, starts with ``.`` or ``_``.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = files.makeQualified(path).toUri().getPath().rstrip("/")
+    scripts = empty = hidden = 0
+    listed = files.listFiles(path, True)
+    while listed.hasNext():
+        found = listed.next()
+        name = found.getPath().toUri().getPath().removeprefix(root)
+        if name.rpartition(".")[2].lower() in SCRIPT_ENDINGS:
+            scripts += 1
+            empty += found.getLen() == 0
+            hidden += "/." in name or "/_" in name
+    return Listing(scripts, empty, hidden)
+
+
+def check_hidden(listing: Listing, skip_hidden: bool) -> None:
+    if listing.hidden and not skip_hidden:
+        raise ValueError(
+            f"{listing.hidden} scripts have names, or lie in folders, that start with '.' or '_', which Spark does not read; "
+            "rename them or leave them out with skip_hidden=True"
+        )
+
+
+def scan_scripts(spark: SparkSession, folder: str, skip_hidden: bool = False) -> DataFrame:
     """Every script below ``folder``: (dir_file, content), one row per file.
 
-    A file is one row and therefore limited to 2 GB.  Empty files and names starting with ``.``
-    or ``_`` are skipped, as everywhere in Spark.
+    A file is one row and therefore limited to 2 GB.  Empty files hold nothing and give no row; ``list_scripts`` counts
+    them.  Spark does not read names that start with ``.`` or ``_``: such scripts are an error unless they are skipped on purpose.
     """
+    check_hidden(list_scripts(spark, folder), skip_hidden)
     found = _reader(spark).format("binaryFile").load(folder)
     return found.select(
         _local_path(F.col("path")).alias("dir_file"), _readable(F.col("content").cast("string")).alias("content")
@@ -81,6 +121,7 @@ def scan_variables(spark: SparkSession, path: str) -> DataFrame:
     Blank lines and ``#`` lines are skipped, one pair of quotes is cut off.
     """
     line = strip(F.col("value"))
+    # Fixed value: the form of a line.
     pattern = r"""(?U)^(\w+)=["']?([^"']*)["']?$"""
     # A settings file is one small file and is read whole, which keeps its line order.
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("place", "value"))
@@ -97,9 +138,6 @@ def scan_variables(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_variables(variables: DataFrame, limit: int = 10_000) -> dict[str, str]:
-    """The variables as a dict for use in expressions; refuses more than ``limit`` of them."""
-    rows = variables.select("name", "value").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} variables: this is not a settings file")
-    return {r["name"]: r["value"] for r in rows}
+def variable_map(variables: DataFrame) -> Column:
+    """The variables as one map inside the plan: a scalar subquery over the settings file, which is one file."""
+    return variables.agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("map")).scalar()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,8 +58,9 @@ PARTITIONS = {
 STAMPED = {"created_at", "updated_at", "checked_at"}
 UNSET_FLAGS = {"is_deleted"}
 
-# Bucketing of raw_customer.
-CUSTOMER_BUCKETS = (10, "customer_id")
+# Declared buckets, number and key.
+BUCKETS = {"raw_customer": (10, "customer_id")}
+CUSTOMER_BUCKETS = BUCKETS["raw_customer"]
 
 
 def table_schema(name: str) -> T.StructType:
@@ -113,9 +115,17 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str], spread:
     df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
-def write_table(df: DataFrame, folder: str, name: str, now: Column | None = None) -> None:
-    """Write a whole warehouse table by column name, laid out as declared."""
+def write_table(df: DataFrame, folder: str, name: str, now: Column | None = None, catalog: str | None = None) -> None:
+    """Write a whole warehouse table by column name, laid out as declared.
+
+    Buckets exist for catalog tables only: with ``catalog``, the name of a table there, a table with declared buckets
+    is saved under it, its files below ``folder``.
+    """
     out = fill_defaults(df, name, now)
+    if catalog and name in BUCKETS:
+        path = f"{folder.rstrip('/')}/{name}"
+        write_bucketed(out, catalog, *BUCKETS[name], partition_by=PARTITIONS.get(name, ()), path=path)
+        return
     if "order_day" in PARTITIONS.get(name, []):
         out = with_order_day(out)
     path = f"{folder.rstrip('/')}/{name}"
@@ -151,19 +161,92 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), reads_itself: bool = False) -> None:
-    """Replace the rows at ``path`` by ``df``, matched by column name.
+def _hadoop(spark: SparkSession, path: str):
+    """A maker of paths and the file system of ``path``: names only, on the driver."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    return jvm.Path, jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _beside(path: str, what: str) -> str:
+    return f"{path.rstrip('/')}__{what}_{uuid.uuid4().hex}"
+
+
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the rows at ``path`` by ``df``, matched by column name; ``df`` may be computed from ``path`` itself.
 
-    Every row-change operator returns the new table; this puts it in place.  When
-    ``df`` is computed from ``path`` itself, the new rows are written to the shared
-    folder first, so the old table is only replaced once they are complete.
+    Every row-change operator returns the new table; this puts it in place.  The new rows are written once, to a
+    folder beside the old one, and the folders are swapped when they are complete, so a write that fails leaves the
+    old table as it was.  On stores without a rename the swap is a copy.
     """
-    if reads_itself:
-        df = kept(df, "overwrite")
-    if partition_by:
-        write_partitioned(df, path, partition_by)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    new, old = _beside(path, "new"), _beside(path, "old")
+    make, files = _hadoop(spark, path)
+    try:
+        if partition_by:
+            write_partitioned(df, new, partition_by)
+        else:
+            df.write.parquet(new)
+    except BaseException:
+        files.delete(make(new), True)
+        raise
+    there = files.exists(make(path))
+    if there and not files.rename(make(path), make(old)):
+        raise OSError(f"{path} cannot be moved aside; the new table is at {new}")
+    if not files.rename(make(new), make(path)):
+        if there:
+            files.rename(make(old), make(path))
+        raise OSError(f"{new} cannot be moved to {path}")
+    if there:
+        files.delete(make(old), True)
+    # What Spark knows of the files of this path is out of date.
+    spark.catalog.refreshByPath(path)
+
+
+def change_partitions(
+    table: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    touched: Column,
+    change: Callable[[DataFrame], DataFrame],
+) -> list[str]:
+    """Apply ``change`` to the partitions of ``path`` that satisfy ``touched``; the others' files stay untouched.
+
+    ``table`` reads ``path``; ``touched`` is a condition on its partition columns, so only these directories are read.
+    Partitions that lose their last row disappear.  A change that moves rows into a partition it has not read is refused.
+    Returns the directories that were replaced or dropped.
+    """
+    spark = table.sparkSession
+    part = table.filter(touched)
+    new, old = _beside(path, "new"), _beside(path, "old")
+    make, files = _hadoop(spark, path)
+    root = files.makeQualified(make(path)).toUri().getPath()
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    # Directory names, never rows; they are escaped as addresses are.
+    read = {make(unquote(r[0])).toUri().getPath() for r in part.select(folder).distinct().collect()}
+    read = {d.removeprefix(root).strip("/") for d in read}
+    try:
+        write_partitioned(change(part), new, partition_by)
+        written = set()
+        listed = files.listFiles(make(new), True)
+        base = files.makeQualified(make(new)).toUri().getPath()
+        while listed.hasNext():
+            name = listed.next().getPath().toUri().getPath().removeprefix(base).strip("/")
+            if "/" in name:
+                written.add(name.rpartition("/")[0])
+        clash = [d for d in written - read if files.exists(make(f"{path}/{d}"))]
+        if clash:
+            raise ValueError(f"the change moves rows into partitions it has not read: {sorted(clash)[:3]}")
+        for d in sorted(read | written):
+            for source, target in ((f"{path}/{d}", f"{old}/{d}"), (f"{new}/{d}", f"{path}/{d}")):
+                if files.exists(make(source)):
+                    files.mkdirs(make(target).getParent())
+                    if not files.rename(make(source), make(target)):
+                        raise OSError(f"{source} cannot be moved to {target}")
+    finally:
+        files.delete(make(new), True)
+    files.delete(make(old), True)
+    spark.catalog.refreshByPath(path)
+    return sorted(read | written)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -181,9 +264,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
-def truncate(df: DataFrame) -> DataFrame:
-    """No rows, same columns."""
-    return df.limit(0)
+def truncate(df: DataFrame, path: str) -> None:
+    """Replace the table at ``path``, which ``df`` reads, by one without rows and with the same columns."""
+    overwrite(df.sparkSession.createDataFrame([], df.schema), path)
 
 
 def drop_partitions_before(df: DataFrame, day: date, column: str = "order_day") -> DataFrame:
@@ -200,6 +283,7 @@ def drop_catalog_partitions_before(spark: SparkSession, table: str, day: date, c
     rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
     values = [r[0].split("=", 1)[1] for r in rows]
     old = sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__" and v < day.isoformat())
-    for value in old:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}='{value}')")
+    for at in range(0, len(old), 500):
+        specs = ", ".join(f"PARTITION ({column}='{value}')" for value in old[at : at + 500])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return old

@@ -6,7 +6,7 @@ import __spark_entry__ as registered
 from rowloom.sources.tables import SCHEMAS
 
 OTHERS = {
-    "customer_master_dup": "customer_id string, customer_name string, updated_at timestamp",
+    "customer_master_dup": SCHEMAS["customer_master"],
     "scripts": "dir_file string, content string",
     "documents": "doc_id bigint, text string",
 }

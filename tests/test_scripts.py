@@ -47,10 +47,27 @@ def test_scan(spark, tmp_path, rows):
 def test_variables(spark, tmp_path):
     path = tmp_path / "names.env"
     path.write_text("# c\n\nDW=dwh\nTMP = x\nA='one'\nB=\"two \"\nDW=dwh2\nbad line\nC=\n")
-    found = scripts.load_variables(scripts.scan_variables(spark, str(path)))
-    assert found == {"DW": "dwh2", "A": "one", "B": "two", "C": ""}
-    with pytest.raises(ValueError):
-        scripts.load_variables(scripts.scan_variables(spark, str(path)), limit=2)
+    variables = scripts.variable_map(scripts.scan_variables(spark, str(path)))
+    assert spark.range(1).select(variables.alias("v")).first().v == {"DW": "dwh2", "A": "one", "B": "two", "C": ""}
+
+
+def test_many_variables(spark, tmp_path):
+    path = tmp_path / "names.env"
+    path.write_text("".join(f"V{i}=s{i}\n" for i in range(12_000)))
+    rows = spark.createDataFrame([("$V11999.a", "${V7}.b")], "source string, target string")
+    found = lineage.with_resolved_names(rows, scripts.variable_map(scripts.scan_variables(spark, str(path)))).first()
+    assert (found.src_schema, found.tgt_schema, found.src_table) == ("s11999", "s7", "a")
+
+
+def test_hidden_and_empty_scripts(spark, tmp_path):
+    (tmp_path / "_old").mkdir()
+    for name, text in (("a.sql", "select 1;"), ("_b.sql", "x"), (".c.sql", "x"), ("_old/d.sql", "x"), ("e.SQL", ""), ("f.txt", "")):
+        (tmp_path / name).write_text(text)
+    root = str(tmp_path)
+    assert scripts.list_scripts(spark, root) == scripts.Listing(scripts=5, empty=1, hidden=3)
+    with pytest.raises(ValueError, match="3 scripts"):
+        scripts.scan_scripts(spark, root)
+    assert [r.dir_file for r in scripts.scan_scripts(spark, root, skip_hidden=True).collect()] == [f"{root}/a.sql"]
 
 
 @pytest.mark.parametrize(

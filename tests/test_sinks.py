@@ -7,8 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from checks.fixtures import SCRIPT_VARIABLES, Warehouse
-from rowloom.plans import updates
+from checks.fixtures import AS_OF, RUN_TS, SCRIPT_VARIABLES, Warehouse
+from rowloom.plans import deletes, updates
 from rowloom.plans.job import run_lineage
 from rowloom.sources import sinks, tables
 from tests.conftest import SMALL
@@ -62,7 +62,7 @@ def test_overwrite_reading_itself(spark, tmp_path, rows):
     old = spark.read.parquet(path)
     # Columns in another order: written by name.
     new = old.filter("id <> 3").select("p", (F.col("id") * 10).alias("id"))
-    tables.overwrite(new, path, ["p"], reads_itself=True)
+    tables.overwrite(new, path, ["p"])
     assert rows(spark.read.parquet(path).select("id", "p")) == sorted(
         [(i * 10, i % 2) for i in range(10) if i != 3], key=repr
     )
@@ -76,9 +76,72 @@ def test_overwrite_some_partitions(spark, tmp_path):
     assert back == {(0, 0), (2, 0), (4, 0), (6, 0), (8, 0), (100, 1)}
 
 
-def test_truncate(spark):
-    df = spark.range(3)
-    assert tables.truncate(df).count() == 0 and tables.truncate(df).schema == df.schema
+def test_truncate(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    tables.truncate(df, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 0 and back.schema == df.schema
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    bad = spark.read.parquet(path).withColumn("id", F.raise_error("no").cast("long"))
+    with pytest.raises(Exception, match="no"):
+        tables.overwrite(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_change_of_some_partitions(spark, tmp_path):
+    w = Warehouse(spark, SMALL)
+    folder = str(tmp_path)
+    # One day of each month, so that there are not too many directories.
+    some = w.raw_order().filter("order_date IS NULL OR dayofmonth(order_date) = 15")
+    tables.write_table(some, folder, "raw_order")
+    path = f"{folder}/raw_order"
+
+    def files():
+        return {p for p in (tmp_path / "raw_order").rglob("*.parquet")}
+
+    def stored():
+        return tables.read_table(spark, folder, "raw_order")
+
+    for touched, change in (
+        (updates.expired_days(AS_OF), lambda t: updates.expire_orders(t, AS_OF, RUN_TS)),
+        (deletes.failed_days(AS_OF), lambda t: deletes.old_failed(t, AS_OF)),
+    ):
+        before, want = files(), change(stored())
+        want = want.exceptAll(spark.createDataFrame([], want.schema)).toPandas()
+        done = tables.change_partitions(stored(), path, ["order_day"], touched, change)
+        gone = before - files()
+        assert gone and {str(p.parent.relative_to(path)) for p in gone} <= set(done)
+        assert before & files() and all(str(p.parent.relative_to(path)) not in done for p in before & files())
+        got = stored().toPandas()
+        key = ["order_id", "order_status"]
+        assert want.sort_values(key)[key].values.tolist() == got.sort_values(key)[key].values.tolist()
+    assert [p.name for p in tmp_path.iterdir()] == ["raw_order"]
+
+
+def test_change_may_empty_a_partition_but_not_leave_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).withColumn("p", F.concat(F.lit("a b="), F.col("id") % 2)).write.partitionBy("p").parquet(path)
+    table = spark.read.parquet(path)
+    with pytest.raises(ValueError, match="has not read"):
+        tables.change_partitions(table, path, ["p"], F.col("p") == "a b=1", lambda t: t.withColumn("p", F.lit("a b=0")))
+    assert spark.read.parquet(path).count() == 10
+    tables.change_partitions(table, path, ["p"], F.col("p") == "a b=1", lambda t: t.filter("id < 0"))
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 2, 4, 6, 8]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.is_dir()]) == 1
+
+
+def test_declared_buckets(spark, tmp_path):
+    tables.write_table(Warehouse(spark, SMALL).raw_customer(), str(tmp_path), "raw_customer", catalog="kept_customer")
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED kept_customer").collect()}
+    assert described["Num Buckets"] == "10" and "customer_id" in described["Bucket Columns"]
+    spark.sql("DROP TABLE kept_customer")
 
 
 def test_bucketed_join_needs_no_exchange(spark):
@@ -187,7 +250,7 @@ def test_updated_table_can_be_put_in_place(spark, tmp_path, rows):
     stored = tables.read_table(spark, folder, "customer_master")
     new = updates.update_by_key(stored, "7", {"customer_name": "N"}, datetime(2001, 8, 1))
     expected = rows(new)
-    tables.overwrite(new, f"{folder}/customer_master", ["country"], reads_itself=True)
+    tables.overwrite(new, f"{folder}/customer_master", ["country"])
     back = tables.read_table(spark, folder, "customer_master")
     assert rows(back) == expected
     assert back.filter("customer_name = 'N'").count() == 1
