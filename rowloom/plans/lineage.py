@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowloom.functions.names import is_table_name, map_of, resolve, schema_part, table_part, tidy
 from rowloom.functions.text import QUOTED_TEXT, count_file_lines, has_keyword, lead
 from rowloom.plans.lines import count_lines, has_any, job_word
-from rowloom.plans.statements import CREATED, clean_text, classify, split_statements, statement_texts
+from rowloom.plans.statements import CREATED, classify, split_statements
 from rowloom.plans.tokens import STATEMENT_KEY, read_names, reads_and_ctes, spread_texts
 from rowloom.sources.scripts import split_path
 
@@ -185,7 +185,7 @@ def lineage(
 def run_summary(files: DataFrame, mode: str = "SIMPLE") -> DataFrame:
     """One row of counts for a run over (dir_file, content) files.
 
-    Everything but the lineage rows is counted inside each file in one pass.
+    Lines are counted inside each file in one pass.
     """
     content = F.col("content")
 
@@ -198,21 +198,22 @@ def run_summary(files: DataFrame, mode: str = "SIMPLE") -> DataFrame:
         return F.when(has_any(content, [word], case_sensitive=True), count).otherwise(0)
 
     measured = {
-        "queries": F.size(statement_texts(F.col("__clean"))),
         "file_lines": count_file_lines(content),
         "emrputf_lines": job_lines("EMRPUTF"),
         "emrput_lines": job_lines("EMRPUT"),
         "default_lines": lines_having("default"),
         "key_mst_lines": lines_having("key_mst"),
     }
-    cleaned = files.select("content", clean_text(content).alias("__clean"))
-    per_file = cleaned.select(*[value.alias(name) for name, value in measured.items()])
+    per_file = files.select(*[value.alias(name) for name, value in measured.items()])
     counts = per_file.agg(
         F.count(F.lit(1)).alias("files"),
         *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in measured],
     )
-    rows = edges(split_statements(files), mode).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
+    # Both hang on the same exchange of the statement texts, so statements are cut once.
+    statements = split_statements(files)
+    rows = edges(statements, mode).agg(F.count(F.lit(1)).alias("n"))
+    queries = spread_texts(statements).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("queries", queries.scalar()).select(
         "files",
         "queries",
         "file_lines",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.money import MONEY_TYPE, mean, rounded_ratio, total
-from rowloom.operators.joins import left_join_many
+from rowloom.operators.joins import keys_of
 from rowloom.plans.views import (
     ITEM_ORDER,
     SOLD,
@@ -33,8 +33,9 @@ def customers(master: DataFrame, rows: int = 100) -> DataFrame:
 def customer_history(master: DataFrame, orders: DataFrame, country: str) -> DataFrame:
     """Orders and spending of every customer of a country, biggest spender first."""
     amount = F.col("total_amount")
+    wanted = keys_of(master.filter(F.col("country") == country), "customer_id")
     spent = (
-        orders.filter(F.col("customer_id").isNotNull())
+        orders.join(wanted, "customer_id", "left_semi")
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("__orders"),
@@ -81,7 +82,16 @@ def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places
     sold = sold_orders(orders).filter(F.col("customer_id").isNotNull())
     newest = first_places(sold, *newest_first().values()).drop("purchase_rank")
     in_order = (*newest_first().values(), *item_order())
-    bought = first_places(left_join_many(newest, items.select("order_id", *ITEM_ORDER), ["order_id"]), *in_order)
+    # With at most ``places`` items an order is no hot key any more, and a plain left join is safe.
+    in_item_order = Window.partitionBy("order_id").orderBy(*item_order())
+    first_items = (
+        items.filter(F.col("order_id").isNotNull())
+        .select("order_id", *ITEM_ORDER)
+        .withColumn("__place", F.row_number().over(in_item_order))
+        .filter(F.col("__place") <= places)
+        .drop("__place")
+    )
+    bought = first_places(newest.join(first_items, "order_id", "left"), *in_order)
     # A customer id may stand on several master rows, which share the places.
     named = master.select("customer_id", "customer_name", "email").join(bought.drop("purchase_rank"), "customer_id")
     return (
@@ -136,25 +146,26 @@ def product_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
 def country_revenue(master: DataFrame, orders: DataFrame) -> DataFrame:
     """Customers, orders and revenue per country."""
     amount = F.col("total_amount")
-    return (
-        left_join_many(
-            master.select("customer_id", "country"),
-            orders.select("customer_id", "order_id", "total_amount"),
-            ["customer_id"],
-        )
-        .groupBy("country")
+    known = master.select("customer_id", "country")
+    # Customers are counted from their own table, so customers without orders need no outer join of the orders.
+    customers = known.groupBy("country").agg(F.count_distinct("customer_id").alias("total_customers"))
+    sold = (
+        known.join(orders.select("customer_id", "order_id", "total_amount"), "customer_id")
+        .groupBy(F.col("country").alias("__country"))
         .agg(
-            F.count_distinct("customer_id").alias("total_customers"),
-            F.count_distinct("order_id").alias("total_orders"),
+            F.count_distinct("order_id").alias("__orders"),
             total(amount).alias("total_revenue"),
             F.count(amount).alias("__amounts"),
         )
+    )
+    return (
+        customers.join(sold, F.col("country").eqNullSafe(F.col("__country")), "left")
         .select(
             "country",
             "total_customers",
-            "total_orders",
+            F.coalesce("__orders", F.lit(0)).alias("total_orders"),
             "total_revenue",
-            mean(F.col("total_revenue"), F.col("__amounts")).alias("avg_order_value"),
+            mean(F.col("total_revenue"), F.coalesce("__amounts", F.lit(0))).alias("avg_order_value"),
             rounded_ratio(F.col("total_revenue"), F.col("total_customers")).alias("revenue_per_customer"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_last(), "country")
