@@ -28,6 +28,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
 from rowloom.llm.common import kept, table, text_of
@@ -35,9 +36,9 @@ from rowloom.llm.common import kept, table, text_of
 #: Bytes of a repeated string, and of an anchor.
 LENGTH, ANCHOR = 50, 16
 #: Bytes of text for which there is one block; its segments hold about four times as much.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes of text that a task cuts at once.
-PART_BYTES = 24 << 20
+PART_BYTES = 16 << 20
 #: Occurrences from which an anchor is taken out of the blocks, and the share of ids this is estimated from.
 HOT, SAMPLED = 50_000, 64
 #: Never part of UTF-8: stands between segments.
@@ -286,7 +287,8 @@ def repeated_stretches(docs: DataFrame, length: int = LENGTH, hot: int = HOT, bl
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(8, -(-total // block_bytes))
     apart = np.array(sorted(hot_anchors(docs, length, hot)), np.uint64)
-    shared = shared_anchors(docs, length, blocks, apart)
+    # Anchors are a few bytes each, so their blocks may hold those of more text.
+    shared = shared_anchors(docs, length, max(8, blocks // 4), apart)
     texts = docs.join(shared, F.col("doc_id") == F.col("shared_id")).select("doc_id", "text", "anchors")
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -396,8 +398,11 @@ def suffix_dedup(
     search, so none is a repeat of another, and what is found in one is removed from each at the same places; ids
     should be distinct.  Texts below ``length`` bytes keep all.  Empty input gives no rows.  Other columns are not read.
     """
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    # Both joins with the texts are by id, so the texts are shuffled once.
+    # Both joins with the texts are by id, so the texts are shuffled once.  Spark sees that only if the two sides look
+    # alike, which an alias of a column to its own name prevents.
+    plain = id_col == "doc_id" and docs.schema[id_col].dataType == T.LongType()
+    name = F.col(id_col) if plain else F.col(id_col).cast("long").alias("doc_id")
+    slim = docs.select(name, text_of(text_col).alias("text"))
     named = slim.filter("doc_id IS NOT NULL")
     found = repeated_stretches(named, length, hot, block_bytes)
     stretches = (
