@@ -26,6 +26,8 @@ def weight_before(
     slice must not be NULL.
     """
     keys = list(keys)
+    # Totals and rows hang on the same exchange, so ``df`` is computed and shuffled once.
+    df = df.repartition(*keys, slice_by)
     earlier = Window.partitionBy(*keys).orderBy(slice_order).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         df.groupBy(*keys, slice_by)
