@@ -544,11 +544,22 @@ TEMPLATES = {
          f"|| {D_A} || ' z ON q.k = z.k;'", None, [S_B, D_A])],
     8: [("INSERT", "C", f"'INSERT INTO ' || {M_A} || ' SELECT * FROM ' || {S_B}", M_A, [S_B])],
     9: [("INSERT", "C", f"'INSERT INTO ' || {M_A} || ' SELECT * FROM ' || {S_B} || ';'", M_A, [S_B])],
+    12: [("INSERT", "C", f"'INSERT OVERWRITE TABLE ' || {M_A} || ' WITH c1 AS (SELECT * FROM c2), c2 AS (SELECT * FROM ' || "
+          f"{S_B} || ') SELECT * FROM c1;'", M_A, [S_B])],
+    13: [("INSERT", "C", f"'INSERT OVERWRITE TABLE ' || {M_A} || ' WITH c1 AS (SELECT * FROM ' || {S_B} || "
+          "' x JOIN c1 r ON r.k = x.k) SELECT * FROM c1;'", M_A, [S_B])],
 }
+# What WITH names read and feed: (template, source, target, depth).
+WITH_EDGES = (
+    (1, S_B, "'C1'", 1), (1, "'c1'", "'C2'", 2), (1, "'c1'", M_A, 2), (1, "'c2'", M_A, 3),
+    (12, S_B, "'C2'", 1), (12, "'c2'", "'C1'", 2), (12, "'c2'", M_A, 2), (12, "'c1'", M_A, 3),
+    (13, S_B, "'C1'", 2), (13, "'c1'", "'C1'", 2), (13, "'c1'", M_A, 3),
+)
 
 SCRIPTS = """
 s AS (SELECT *, base_directory || '/' || file_name AS dir_file FROM (
-    SELECT doc_id % 12 AS t, CAST(doc_id % 17 AS VARCHAR) AS a, CAST(doc_id % 23 AS VARCHAR) AS b, text,
+    SELECT CASE WHEN doc_id % 12 = 1 AND doc_id % 5 IN (1, 2) THEN 11 + doc_id % 5 ELSE doc_id % 12 END AS t,
+           CAST(doc_id % 17 AS VARCHAR) AS a, CAST(doc_id % 23 AS VARCHAR) AS b, text,
            '/corpus/d' || CAST(doc_id % 10 AS VARCHAR) AS base_directory,
            'f' || CAST(doc_id AS VARCHAR) || '.' || ['sql', 'hql', 'SQL', 'uld', 'ld', 'sh'][CAST(doc_id % 6 AS INT) + 1]
                AS file_name
@@ -581,10 +592,8 @@ def _pairs(detail: bool) -> str:
             for source in sources or ["''"]:
                 add(t, number, kind, crud, source, target or "''", 1)
     if detail:
-        for source, target, depth in (
-            (S_B, "'C1'", 1), ("'c1'", "'C2'", 2), ("'c1'", M_A, 2), ("'c2'", M_A, 3)
-        ):
-            add(1, 1, "INSERT", "C", source, target, depth)
+        for t, source, target, depth in WITH_EDGES:
+            add(t, 1, "INSERT", "C", source, target, depth)
     return f"WITH {SCRIPTS}, e AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
@@ -653,14 +662,18 @@ LINEAGE = {
     "l11_sources": f"""{_pairs(False)}
         SELECT dir_file, stmt_no, source FROM e WHERE source <> ''
         UNION ALL
-        SELECT dir_file, CAST(1 AS INT), unnest(['c1', 'c2']) FROM s WHERE t = 1""",
+        SELECT dir_file, CAST(1 AS INT), unnest(['c1', 'c2']) FROM s WHERE t IN (1, 12)
+        UNION ALL SELECT dir_file, CAST(1 AS INT), 'c1' FROM s WHERE t = 13""",
     "l13_targets": f"{_pairs(False)} SELECT DISTINCT dir_file, stmt_no, target FROM e WHERE target <> ''",
-    "l15_ctes": f"""WITH {SCRIPTS}
-        SELECT dir_file, CAST(1 AS INT) AS stmt_no, 'C1' AS cte, {S_B} AS source FROM s WHERE t = 1
-        UNION ALL SELECT dir_file, CAST(1 AS INT), 'C2', 'c1' FROM s WHERE t = 1""",
+    "l15_ctes": "\nUNION ALL ".join(
+        f"(WITH {SCRIPTS} SELECT dir_file, CAST(1 AS INT) AS stmt_no, {target} AS cte, {source} AS source FROM s WHERE t = {t})"
+        for t, source, target, _ in WITH_EDGES
+        if target != M_A
+    ),
     "l16_cte_depth": f"""WITH {SCRIPTS}
-        SELECT dir_file, CAST(1 AS INT) AS stmt_no, 'C' || CAST(d AS VARCHAR) AS cte, CAST(d AS INT) AS depth
-        FROM s, (SELECT unnest([1, 2]) AS d) WHERE t = 1""",
+        SELECT dir_file, CAST(1 AS INT) AS stmt_no, cte, CAST(depth AS INT) AS depth
+        FROM s JOIN (VALUES (1, 'C1', 1), (1, 'C2', 2), (12, 'C1', 2), (12, 'C2', 1), (13, 'C1', 2)) d(n, cte, depth)
+        ON t = n""",
     "l17_temp_objects": f"WITH {SCRIPTS} SELECT DISTINCT 'TV' || a AS temp_name FROM s WHERE t = 5",
     "l19_resolved_names": f"""{_pairs(False)}
         SELECT DISTINCT dir_file, stmt_no, target, {_schema('target')} AS tgt_schema, {_table('target')} AS tgt_table
