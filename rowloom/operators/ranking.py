@@ -54,6 +54,8 @@ def spread_ids(df: DataFrame, group: str, place: str, name: str, digits: int = 3
     inside each of the 16^digits buckets, a second one adds up the buckets, which are a
     fixed number of rows whatever the size of ``df``.
     """
+    # Sizes, buckets and rows hang on the same exchange, so ``df`` is computed once.
+    df = df.repartition(group)
     bucket = F.substring(F.md5(F.col(group)), 1, digits)
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__size")).withColumn("__bucket", bucket)
     in_bucket = Window.partitionBy("__bucket").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)

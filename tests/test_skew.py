@@ -139,7 +139,7 @@ def test_no_plan_broadcasts_by_hint_or_crosses(spark):
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name, query in registered.queries().items():
+        for name, query in registered.own_queries().items():
             plan = query(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
             assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan, name
             # The id buckets are the one table with a fixed number of rows.
