@@ -42,6 +42,9 @@ CLAUSES = (
 # The words that end a WITH list.
 MAIN_WORDS = ("SELECT", "INSERT", "UPDATE", "DELETE", "MERGE", "VALUES")
 
+# Bytes of text for which there is one partition of statements, and the most partitions there are.
+TEXT_BYTES, MOST_PARTS = 32 << 20, 200_000
+
 WITH_LEADS = ("WITH", "RECURSIVE", ",")
 LIST_LEADS = ("FROM", "JOIN", "USING", ",")
 
@@ -65,10 +68,14 @@ def spread_texts(statements: DataFrame) -> DataFrame:
     """Statement texts hashed by their key.
 
     The number of partitions is given, so that adaptive execution does not merge them by the size
-    of the texts: the work per byte is many times that of a usual shuffle.
+    of the texts: the work per byte is many times that of a usual shuffle.  It is the session's number, or one for
+    each ``TEXT_BYTES`` of the files behind the statements if that is more; the planner's estimate knows their size.
     """
     parts = int(statements.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return statements.select(*STATEMENT_KEY, "query_text").repartition(parts, *STATEMENT_KEY)
+    size = int(str(statements._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # A table without files has no known size; the planner then assumes the largest number there is.
+    by_size = min(size // TEXT_BYTES, MOST_PARTS) if size < 1 << 60 else 0
+    return statements.select(*STATEMENT_KEY, "query_text").repartition(max(parts, by_size), *STATEMENT_KEY)
 
 
 def _shifted(array: Column, by: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from pathlib import PurePosixPath
 
@@ -78,6 +79,17 @@ def unload_file(spark: SparkSession, sql_file: str, out_dir: str, stamp: str) ->
     return path, unload(spark, row["text"].replace("�", "") if row else "", path)
 
 
+def check_widths(df: DataFrame, column_types: str) -> None:
+    """Fail with the columns and lengths if a text does not fit its VARCHAR, before anything is dropped or written."""
+    widths = {name: int(width) for name, width in re.findall(r"(\w+) VARCHAR\((\d+)\)", column_types) if name in df.columns}
+    if not widths:
+        return
+    longest = df.agg(*[F.max(F.length(F.col(name).cast("string"))).alias(name) for name in widths]).first()
+    over = {name: longest[name] for name, width in widths.items() if (longest[name] or 0) > width}
+    if over:
+        raise ValueError(f"texts longer than their columns: {over}; widths are {({n: widths[n] for n in over})}")
+
+
 def write_database(
     df: DataFrame,
     url: str,
@@ -87,7 +99,11 @@ def write_database(
     connections: int = 16,
     batch: int = 10_000,
 ) -> None:
-    """Drop, create and fill a database table; at most ``connections`` tasks write at a time."""
+    """Drop, create and fill a database table; at most ``connections`` tasks write at a time.
+
+    ``column_types`` gives widths of text columns, which are checked first.
+    """
+    check_widths(df, column_types)
     writer = (
         df.write.format("jdbc")
         .mode("overwrite")

@@ -221,6 +221,13 @@ def test_database_options():
     assert split["dbtable"] == "(SELECT 1) q" and split["numPartitions"] == "3" and "query" not in split
 
 
+def test_texts_must_fit_their_columns(spark):
+    df = spark.createDataFrame([("x" * 31, "ok"), (None, "y" * 10)], "run_id string, target_type string")
+    with pytest.raises(ValueError, match=r"'run_id': 31"):
+        sinks.check_widths(df, sinks.LINEAGE_TYPES)
+    sinks.check_widths(df.filter("run_id IS NULL"), sinks.LINEAGE_TYPES)
+
+
 def test_whole_run(spark, tmp_path):
     w = Warehouse(spark, SMALL)
     source = tmp_path / "corpus"
