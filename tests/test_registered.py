@@ -45,5 +45,8 @@ SOURCES = {
 @pytest.mark.parametrize("name", [n for n in sorted(SQL) if n[0] in "ud"])
 def test_every_change_changes_something(spark, name):
     given = getattr(Warehouse(spark, CHECKED), SOURCES[name[:3]])()
-    new = registered.own_queries()[name](spark, CHECKED).select(*given.columns)
+    new = registered.own_queries()[name](spark, CHECKED)
+    # The rebuilt customer table has no mark of deleted rows.
+    both = [c for c in given.columns if c in new.columns]
+    given, new = given.select(*both), new.select(*both)
     assert given.exceptAll(new).limit(1).count() + new.exceptAll(given).limit(1).count() > 0

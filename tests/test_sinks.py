@@ -98,8 +98,8 @@ def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
 def test_change_of_some_partitions(spark, tmp_path):
     w = Warehouse(spark, SMALL)
     folder = str(tmp_path)
-    # One day of each month, so that there are not too many directories.
-    some = w.raw_order().filter("order_date IS NULL OR dayofmonth(order_date) = 15")
+    # One day of each month and the last ones, so that there are not too many directories.
+    some = w.raw_order().filter("order_date IS NULL OR dayofmonth(order_date) = 15 OR order_date >= '2001-07-01'")
     tables.write_table(some, folder, "raw_order")
     path = f"{folder}/raw_order"
 
