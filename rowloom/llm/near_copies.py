@@ -1,0 +1,159 @@
+"""Near copies by word overlap: MinHash bands propose pairs, exact Jaccard over five-word shingles decides.
+
+Texts become sets of shingles, and equal sets become one.  Each set has ``BANDS`` keys of ``ROWS`` minima each; sets with a
+similarity of 0.8 share a key but for three in a million, more similar ones still more surely, while sets that share
+one passage of many hardly ever do.  Every proposed pair is verified on the whole sets before it links anything.
+
+Keys shared by more than ``BUCKET`` sets are not paired at once.  Their sets are compared with the smallest of them, which
+ties a crowd of copies together in as many comparisons as it has members; after that only pairs in different components are
+compared.  Nothing is left out: a crowd of sets that are no copies of each other is compared pair by pair.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
+
+from rowloom.llm.common import kept, text_of
+from rowloom.llm.components import components
+
+#: Words of a shingle; the similarity, as a fraction, from which sets are near copies.
+SHINGLE, SHARE = 5, (4, 5)
+#: Keys of a set and minima in each.
+BANDS, ROWS = 24, 4
+#: Sets of one key up to which they are paired at once.
+BUCKET = 24
+SEED = 42
+_numbers = np.random.default_rng(SEED)
+FACTORS = _numbers.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+MASKS = _numbers.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """Hashes of the distinct shingles of a text, sorted; of all words if they are fewer, none without words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.append(0, ends[:-1] + 1)
+    n = max(len(words) - SHINGLE + 1, 1)
+    pairs = zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)
+    return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in pairs), np.uint64, n))
+
+
+def keys_of(hashes: np.ndarray) -> np.ndarray:
+    """The keys of a set, one a band; none for the empty set."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 512):
+        part = hashes[at : at + 512]
+        least = np.minimum(least, ((part[None, :] ^ MASKS[:, None]) * FACTORS[:, None]).min(axis=1))
+    bands = least.reshape(BANDS, ROWS)
+    return np.array([xxh64_intdigest(b.tobytes(), n) for n, b in enumerate(bands)], np.uint64).view(np.int64)
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, digest) as ``doc_id, digest, sig, keys``."""
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = [shingles(t) for t in rows["text"]]
+            sigs = np.array([xxh64_intdigest(f.tobytes(), SEED) for f in found], np.uint64).view(np.int64)
+            yield pd.DataFrame(
+                {"doc_id": rows["doc_id"], "digest": rows["digest"], "sig": sigs, "keys": [keys_of(f) for f in found]}
+            )
+
+    out = T.StructType(
+        [docs.schema["doc_id"], *[T.StructField(n, t) for n, t in
+         (("digest", T.LongType()), ("sig", T.LongType()), ("keys", T.ArrayType(T.LongType())))]]
+    )
+    return docs.select("doc_id", "digest", "text").mapInPandas(mark, out)
+
+
+def _key_of_row(doc_id: Column, digest: Column) -> Column:
+    """One number for an id and a text; ids may be null."""
+    return F.xxhash64(doc_id.isNull(), doc_id, digest)
+
+
+def _verified(pairs: DataFrame, seen: DataFrame, docs: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) of sets whose similarity is at least ``SHARE``."""
+    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    rows = seen.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("row_key").alias("rep"))
+    texts = docs.join(rows, docs["row_key"] == rows["rep"]).select("sig", "text").dropDuplicates(["sig"])
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def hashes(column: pd.Series) -> pd.Series:
+        return pd.Series([shingles(t).view(np.int64) for t in column])
+
+    sets = kept(texts.select("sig", hashes("text").alias("of")), "near-copy-sets")
+    both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("of").alias("of_a")), "a").join(
+        sets.select(F.col("sig").alias("b"), F.col("of").alias("of_b")), "b"
+    )
+    up, down = SHARE
+    shared = F.size(F.array_intersect("of_a", "of_b")).cast("long")
+    # shared / (all - shared) >= up / down
+    return both.filter(shared * (up + down) >= (F.size("of_a") + F.size("of_b")) * up).select("a", "b")
+
+
+def links(seen: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between distinct sets, enough to connect all near copies."""
+    keys = kept(
+        seen.select("sig", "keys").dropDuplicates(["sig"]).select("sig", F.explode("keys").alias("key")), "near-copy-keys"
+    )
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("low")).filter("n > 1")
+    several = kept(keys.join(shared, "key"), "near-copy-shared")
+    lists = several.filter(F.col("n") <= BUCKET).groupBy("key").agg(F.sort_array(F.collect_list("sig")).alias("of"))
+    pairs = F.flatten(
+        F.transform(
+            "of", lambda x, i: F.transform(F.slice("of", i + 2, BUCKET), lambda y: F.struct(x.alias("a"), y.alias("b")))
+        )
+    )
+    paired = lists.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    crowded = several.filter(F.col("n") > BUCKET)
+    stars = crowded.filter("sig <> low").select(F.col("low").alias("a"), F.col("sig").alias("b"))
+    first = kept(_verified(kept(paired.unionByName(stars).distinct(), "near-copy-pairs"), seen, docs), "near-copy-links")
+    if crowded.isEmpty():
+        return first
+    known = components(first).withColumnRenamed("node", "sig")
+    placed = kept(
+        crowded.select("key", "sig").join(known, "sig", "left").withColumn("component", F.coalesce("component", "sig")),
+        "near-copy-crowds",
+    )
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
+    left = placed.join(mixed.select("key"), "key", "left_semi")
+    one = left.select("key", F.col("sig").alias("a"), F.col("component").alias("at"))
+    two = left.select("key", F.col("sig").alias("b"), F.col("component").alias("to"))
+    rest = one.join(two, "key").filter("at < to").select("a", "b").distinct()
+    return first.unionByName(_verified(kept(rest, "near-copy-pairs"), seen, docs))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group of near copies: that with the smallest id, then text digest.
+
+    A group is what links of similar texts connect.  Texts without words are one group.  A null text counts as empty, and a null id
+    comes last.  Of repeated rows one stays.  Empty input gives no rows.
+    """
+    given = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    given = given.withColumn("digest", F.xxhash64("text"))
+    given = given.withColumn("row_key", _key_of_row(F.col("doc_id"), F.col("digest")))
+    seen = kept(_marked(given).withColumn("row_key", _key_of_row(F.col("doc_id"), F.col("digest"))), "near-copies")
+    member = components(kept(links(seen, given), "near-copy-links")).withColumnRenamed("node", "sig")
+    # Rows of one id and text are counted first, so that a hot text is few rows here.
+    counted = seen.groupBy("sig", "doc_id", "digest", "row_key").agg(F.count(F.lit(1)).alias("n"))
+    placed = counted.join(member, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    first = placed.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "row_key", "n")).alias("f")
+    )
+    first = kept(first.select(F.col("f.row_key").alias("first_key"), "f.n"), "near-copy-first")
+    left = given.join(first, given["row_key"] == first["first_key"])
+    once = left.filter("n = 1").select("row.*")
+    repeated = left.filter("n > 1").groupBy("first_key").agg(F.min("row").alias("row")).select("row.*")
+    return once.unionByName(repeated)

@@ -1,0 +1,68 @@
+import random
+
+import pytest
+
+import corpus_pipeline
+from rowloom.llm import near_copies
+from tests.llm.fixtures import WORD, empty_docs, groups, odd_docs, sentence
+
+
+def shingles(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def brute(texts):
+    """The smallest id of each document's group, by all pairs."""
+    sets = {d: shingles(t) for d, t in texts.items()}
+    holders = {}
+    for d, s in sets.items():
+        for x in s or {None}:
+            holders.setdefault(x, []).append(d)
+    near = {(a, b) for of in holders.values() for i, b in enumerate(of) for a in of[:i]}
+    return groups(sorted(texts), [(a, b) for a, b in near if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])])
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = sentence(rng, 1)
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("bucket", [24, 2])
+def test_stage_keeps_one_of_each_group(spark, monkeypatch, bucket):
+    """Single edits in a text and chains of them, crowds, and texts that share most of their words but are no copies."""
+    monkeypatch.setattr(near_copies, "BUCKET", bucket)
+    rng = random.Random(4)
+    texts = [sentence(rng, rng.randint(60, 200)) for _ in range(40)]
+    for t in texts[:40]:
+        texts += [edited(rng, t, n) for n in (1, 1, 2, 3, 6)]
+        texts.append(edited(rng, texts[-5], 2))
+    crowd = sentence(rng, 150)
+    texts += [edited(rng, crowd, rng.choice([1, 2, 3, 5])) for _ in range(60)]
+    docs = dict(enumerate(rng.sample(texts, len(texts))))
+    want = brute(docs)
+    table = spark.createDataFrame([(d, t, len(t)) for d, t in docs.items()], "doc_id long, text string, n_chars long")
+    left = corpus_pipeline.near_duplicates(spark, table, "")
+    assert left.columns == table.columns
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(want.values()))
+
+
+def test_documents_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute({r.doc_id: r.text for r in docs.collect()})
+    found = [r.doc_id for r in near_copies.keep_one(docs).collect()]
+    assert sorted(found) == sorted(set(want.values())) and len(found) < len(want)
+
+
+def test_one_row_of_a_group(spark):
+    """Repeated rows, null ids and other texts under a kept id leave one row a group."""
+    rng = random.Random(6)
+    a, b = sentence(rng, 80), sentence(rng, 80)
+    rows = [(6, a), (6, a), (6, b), (7, a), (3, b), (None, a), (None, b), (None, "alone"), (None, "alone"), (8, None), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [tuple(r) for r in near_copies.keep_one(docs).collect()]
+    assert sorted(left, key=repr) == sorted([(6, a), (3, b), (None, "alone"), (8, None)], key=repr)
+    assert near_copies.keep_one(odd_docs(spark)).filter("doc_id IS NULL").count() == 1
+    assert near_copies.keep_one(empty_docs(spark)).collect() == []
