@@ -1,7 +1,8 @@
 """Personal data: proposed spans, scored by gradient-boosted trees, cut at a calibrated threshold.
 
 Four strict patterns with checks (octets, Luhn, digit counts) give the base spans, which always stay.  Two generators
-of high recall, one for runs of digits and one for addresses with spelt-out signs, propose further spans that may overlap.
+of high recall, one for runs of digits and the runs of whole groups in them, one for addresses with spelt-out signs, propose further
+spans that may overlap.
 Format and context of a proposal become small whole numbers.  Proposals that overlap a base span are the positive
 examples; whatever only the checks see (the plus sign, the checksum) is not a feature, so a
 proposal of the same format and context as most validated ones scores high without them.
@@ -166,22 +167,62 @@ def _meets(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def windows(found: Column) -> Column:
+    """The matches of ``found`` and, like them, every shorter run of whole digit groups in one with 7 to 19 digits.
+
+    A run of digits may hold several numbers side by side.  A window has at most 19 groups, so their number is linear.
+    """
+    grouped = F.transform(found, lambda m: F.struct(m.alias("m"), matches(m["found"], "[0-9]++").alias("groups")))
+
+    def of_match(x: Column) -> Column:
+        m, groups = x["m"], x["groups"]
+
+        def between(g: Column, h: Column) -> Column:
+            size = h["end"] - g["start"]
+            return F.struct(
+                (m["start"] + g["start"]).alias("start"),
+                (m["start"] + h["end"]).alias("end"),
+                F.substring(m["found"], g["start"] + 1, size).alias("found"),
+                F.right(F.concat(m["before"], F.left(m["found"], g["start"])), F.lit(24)).alias("before"),
+                F.left(F.concat(F.substring(m["found"], h["end"] + 1, F.lit(1)), m["after"]), F.lit(1)).alias("after"),
+            )
+
+        made = F.flatten(F.transform(groups, lambda g, i: F.transform(F.slice(groups, i + 1, 19), lambda h: between(g, h))))
+        return F.filter(
+            made,
+            lambda w: F.length(_digits(w["found"])).between(7, 19) & (F.length(w["found"]) < F.length(m["found"])),
+        )
+
+    return F.flatten(F.transform(F.filter(grouped, lambda x: F.size(x["groups"]) > 1), of_match))
+
+
 def proposals(text: Column, base: Column) -> Column:
-    """Array of (start, kind, end, known, features) of all proposals; ``known`` if a base span overlaps."""
+    """Array of (start, kind, end, known, free, features) of all proposals.
 
-    def of_source(n: int, pattern: str) -> Column:
-        return F.transform(
-            matches(text, pattern),
+    ``free`` if no base span overlaps.  A whole match is ``known`` if one does, a window inside it if it passes the
+    checksum of cards; windows that overlap a base span are left out.
+    """
+
+    def described(n: int, found: Column, known, keep=None) -> Column:
+        made = F.transform(
+            found,
             lambda m: F.struct(
                 m["start"].alias("start"),
                 _kind(n, m).alias("kind"),
                 m["end"].alias("end"),
-                F.exists(base, lambda b: _meets(m, b)).alias("known"),
+                known(m).alias("known"),
+                (~F.exists(base, lambda b: _meets(m, b))).alias("free"),
                 *[c.cast("int").alias(name) for name, c in _features(n, m).items()],
             ),
         )
+        return F.filter(made, keep) if keep else made
 
-    return F.concat(*[of_source(n, pattern) for n, pattern in enumerate(PROPOSED.values())])
+    whole = [
+        described(n, matches(text, pattern), lambda m: F.exists(base, lambda b: _meets(m, b)))
+        for n, pattern in enumerate(PROPOSED.values())
+    ]
+    inner = described(0, windows(matches(text, PROPOSED["number"])), lambda w: _valid("card", w["found"]), lambda w: w["free"])
+    return F.concat(*whole, inner)
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -280,33 +321,35 @@ def boost(counted: Sequence[dict]) -> tuple[list, float]:
 def with_spans(scanned: DataFrame, model: tuple[list, float]) -> DataFrame:
     """``scanned`` with ``spans``, array of (start, kind, end) by start, then kind: the base and what is added.
 
-    A proposal is added from the threshold on if it overlaps neither a base span nor a better proposal.
+    A proposal is added from the threshold on if it overlaps neither a base span nor a better proposal that is added.
     """
     trees, threshold = model
     if not trees or math.isinf(threshold):
         return scanned.withColumn("spans", F.col("__base"))
     scored = F.filter(
         F.transform(
-            F.filter("__proposed", lambda p: ~p["known"]),
+            F.filter("__proposed", lambda p: p["free"]),
             lambda p: F.struct(
+                (-sum((_expression(t, p) for t in trees), F.lit(0.0))).alias("rank"),
+                # No kind has more than 19 digits: of equal scores the numbers in such a run come first.
+                (p["digits"] == FEATURES["digits"] - 1).alias("long"),
                 p["start"].alias("start"),
                 p["kind"].alias("kind"),
+                (-p["end"]).alias("back"),
                 p["end"].alias("end"),
-                sum((_expression(t, p) for t in trees), F.lit(0.0)).alias("score"),
             ),
         ),
-        lambda p: p["score"] >= threshold,
+        lambda p: p["rank"] <= -threshold,
     )
-    added = F.filter(
-        "__added",
-        lambda p: ~F.exists(
-            "__added",
-            lambda q: _meets(p, q)
-            & ((q["score"] > p["score"]) | ((q["score"] == p["score"]) & (F.struct(q["start"], q["kind"]) < F.struct(p["start"], p["kind"])))),
+    span = "array<struct<start:int,kind:int,end:int>>"
+    added = F.aggregate(
+        F.sort_array(scored),
+        F.array().cast(span),
+        lambda acc, p: F.when(F.exists(acc, lambda q: _meets(p, q)), acc).otherwise(
+            F.concat(acc, F.array(F.struct(p["start"], p["kind"], p["end"])).cast(span))
         ),
     )
-    spans = F.concat("__base", F.transform(added, lambda p: F.struct(p["start"], p["kind"], p["end"])))
-    return scanned.withColumn("__added", scored).withColumn("spans", F.sort_array(spans)).drop("__added")
+    return scanned.withColumn("spans", F.sort_array(F.concat("__base", added)))
 
 
 def redact(text: Column, spans: Column) -> Column:
@@ -357,7 +400,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: base counts by kind, digest of the base spans, all spans as text.
 
     A null text counts as empty and has no spans.  Null ids are in the training fold.  Repeated rows are scanned each.  Empty input gives no
-    rows.  Other columns are not read.  Proposals that only overlap are settled by score, then start, then kind.
+    rows.  Other columns are not read.  Proposals that overlap are settled by score, then (runs of over 19 digits
+    last) start, then kind, then length.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     scanned = kept(scan(slim).drop("text"), "pii-scan")

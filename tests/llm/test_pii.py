@@ -98,3 +98,22 @@ def test_cells_are_bounded(spark):
 def test_running_sums(spark, n):
     df = spark.range(1).select(pii._running(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda x: x.cast("int"))).alias("r"))
     assert df.first().r == [i * (i + 1) // 2 for i in range(n)]
+
+
+def test_numbers_side_by_side(spark):
+    """Valid card numbers that stand next to each other are one run of digits, and both are found."""
+    def card(i):
+        head = f"44657583{i:07d}"
+        return next(head + c for c in "0123456789" if luhn(head + c))
+
+    rows = [(i, f"paid with {card(i)} today") for i in range(400)]
+    rows += [(1000 + i, f"order 88{i:05d} of lot {i:09d}") for i in range(400)]
+    one, two = card(5001), card(5002)
+    rows += [(5000, f"paid with {one} {two} today"), (5001, f"paid with {one} {two} {one} today")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    assert found[5000].n_card == found[5001].n_card == 0
+    assert found[5000].spans == "card:10:26,card:27:43"
+    assert found[5001].spans == "card:10:26,card:27:43,card:44:60"
+    left = {r.doc_id: r.text for r in pii.remove_personal_data(docs).collect()}
+    assert left[5000] == "paid with <CARD> <CARD> today"
