@@ -19,6 +19,7 @@ MODULES = {
     "op8_pii": "pii",
     "op9_suffix_dedup": "suffix_dedup",
     "op10_quality_classifier": "quality_classifier",
+    "op13_token_files": "token_files",
 }
 
 
