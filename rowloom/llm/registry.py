@@ -19,6 +19,8 @@ MODULES = {
     "op8_pii": "pii",
     "op9_suffix_dedup": "suffix_dedup",
     "op10_quality_classifier": "quality_classifier",
+    "op11_vector_codes": "vector_codes",
+    "op12_phrases": "phrases",
     "op13_token_files": "token_files",
 }
 

@@ -24,7 +24,7 @@ def test_matches_sql(spark, name):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registered.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in registered.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in registered.queries()
 
 
 def test_stages(spark, tmp_path):
