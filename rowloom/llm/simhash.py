@@ -171,10 +171,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group; rows with a null id stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle)
-    first = found.filter("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(first, docs[id_col] == first["first_id"], "left_semi").unionByName(docs.filter(F.col(id_col).isNull()))
+    """One row of ``docs`` for each group of ``near_duplicates``: that with the smallest id, then text digest; null ids come last.
+
+    Of repeated rows one stays, of rows that share id and text the one that is smallest as JSON.  A null text counts as
+    empty, and texts without words are linked like others.  Empty input gives no rows.
+    """
+    given = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    given = given.withColumn("digest", F.xxhash64("text"))
+    marked = with_fingerprints(given.select("doc_id", "digest", "text"), "text", shingle).select("doc_id", "digest", "fp")
+    # Rows of one id and text are counted first, so that a hot text is few rows.
+    seen = kept(marked.groupBy("fp", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "n")
+    groups = kept(seen.groupBy("fp").agg(F.min(order).alias("first")), "simhash-distinct")
+    member = components(links(groups)).withColumnRenamed("node", "fp")
+    first = (
+        groups.join(member, "fp", "left")
+        .groupBy(F.coalesce("component", "fp").alias("component"))
+        .agg(F.min("first").alias("f"))
+        .select(F.col("f.doc_id").alias("first_id"), F.col("f.digest").alias("first_digest"), F.col("f.n").alias("n"))
+    )
+    first = kept(first, "simhash-first")
+    same = given["doc_id"].eqNullSafe(first["first_id"]) & (given["digest"] == first["first_digest"])
+    left = given.join(first, same)
+    repeated = left.filter("n > 1").groupBy("first_id", "first_digest").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return left.filter("n = 1").select("row.*").unionByName(repeated.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
