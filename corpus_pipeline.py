@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from rowloom.llm.common import table
 from rowloom.llm.decontamination import without_leaks
 from rowloom.llm.mixing import mix_sources
-from rowloom.llm.near_copies import keep_one
 from rowloom.llm.pii import remove_personal_data
 from rowloom.llm.quality_classifier import classify
+from rowloom.llm.simhash import keep_one
 from rowloom.session import shared_folder
 
 
@@ -27,7 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays, linked where five-word shingles overlap by 0.8 or more."""
+    """The document with the smallest id of each group stays, linked where fingerprints differ in two bits or fewer."""
     return keep_one(docs)
 
 
