@@ -31,7 +31,9 @@ LEAST, SHARE = 10, 50
 #: Phrases a language returns.
 TOP = 2000
 #: Bytes of text of a block; n-grams of a range.
-BLOCK, RANGE = 16 << 20, 1 << 20
+BLOCK, RANGE = 8 << 20, 1 << 20
+#: Words whose n-grams are packed at once.
+STRETCH = 1 << 18
 #: Partitions up to which the first ids of each are broadcast.
 PARTS = 100_000
 #: Groups of a language that are ranked on their own first.
@@ -209,34 +211,47 @@ def merged(filters: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[opens], np.add.reduceat(counts[order], opens) if len(opens) else counts
 
 
+def _ngrams(words: np.ndarray, packing: Packing) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges and keys of all pairs and triples of neighbouring ids; 0 is no id."""
+    kind = np.uint16 if packing.ranges <= 16 else np.uint32
+    ranges, keys = [np.zeros(0, kind)], [np.zeros(0, np.uint64)]
+    for at in range(0, len(words), STRETCH):
+        # Two words more, so that every n-gram starts in exactly one stretch.
+        some = words[at : at + STRETCH + 2]
+        first, second, third = some, np.append(some[1:], np.uint64(0)), np.append(some[2:], np.zeros(2, np.uint64))[: len(some)]
+        two = np.flatnonzero((first > 0) & (second > 0))
+        two = two[two < STRETCH]
+        three = two[third[two] > 0]
+        for places, last in ((two, np.zeros(len(two), np.uint64)), (three, third[three])):
+            r, k = packing.pack(first[places], second[places], last)
+            ranges.append(r.astype(kind))
+            keys.append(k)
+    return np.concatenate(ranges), np.concatenate(keys)
+
+
 def _filters(blocks: DataFrame, packing: Packing) -> DataFrame:
     """``blocks`` (sequence, places, ids) as ``range, filter``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for sequence, places, ids in zip(*(batch.column(c) for c in ("sequence", "places", "ids")), strict=True):
-                numbers = _from_planes(sequence.as_py())
+                numbers = _from_planes(sequence.as_buffer())
                 of = np.zeros(int(numbers.max()) + 1 if len(numbers) else 1, np.uint64)
                 of[places.values.to_numpy()] = ids.values.to_numpy()
-                words = of[numbers]
-                two = (words[:-1] > 0) & (words[1:] > 0)
-                three = np.flatnonzero(two[:-1] & two[1:])
-                two = np.flatnonzero(two)
-                first = np.concatenate([words[two], words[three]])
-                second = np.concatenate([words[two + 1], words[three + 1]])
-                third = np.concatenate([np.zeros(len(two), np.uint64), words[three + 2]])
-                ranges, keys = packing.pack(first, second, third)
-                ranges = ranges.astype(np.uint16 if packing.ranges <= 16 else np.uint32)
+                ranges, keys = _ngrams(of[numbers], packing)
+                if not len(keys):
+                    continue
                 order = np.argsort(ranges, kind="stable")
                 ranges, keys = ranges[order], keys[order]
-                cuts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])) if len(keys) else []
+                cuts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
                 found = []
-                for part in np.split(keys, cuts[1:]) if len(keys) else ():
-                    found.append(to_filter(*np.unique(part, return_counts=True), packing.key_bits))
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ranges[cuts].astype(np.int64)), pa.array(found, pa.binary())], names=["range", "filter"]
-                    )
+                for part in np.split(keys, cuts[1:]):
+                    part.sort()
+                    opens = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                    found.append(to_filter(part[opens], np.diff(np.append(opens, len(part))), packing.key_bits))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ranges[cuts].astype(np.int64)), pa.array(found, pa.binary())], names=["range", "filter"]
+                )
 
     return blocks.mapInArrow(run, "range long, filter binary")
 

@@ -108,6 +108,7 @@ def test_small_blocks_and_ranges(spark, monkeypatch):
     """Phrases counted over many blocks and ranges, ties in score and count, breaks of all kinds, lists cut short."""
     monkeypatch.setattr(phrases, "BLOCK", 300)
     monkeypatch.setattr(phrases, "RANGE", 50)
+    monkeypatch.setattr(phrases, "STRETCH", 7)
     rng = random.Random(7)
     words = ["a", "b", "c", "New", "york", "city", "\x01x", "é", "a\x1cb", "-"]
     marks = [" ", " ", "  ", "\t", ", ", "\n", ";", " . ", "\x0b"]
