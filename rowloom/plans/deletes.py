@@ -53,10 +53,14 @@ def idle_customers(master: DataFrame, orders: DataFrame, as_of: date) -> DataFra
     return apply_delete(marked, idle).select(*master.columns)
 
 
+def long_cancelled(orders: DataFrame, as_of: date) -> DataFrame:
+    """Orders cancelled more than 90 days ago."""
+    return orders.filter((F.col("order_status") == "CANCELLED") & _before("order_date", as_of, 90))
+
+
 def cancelled_items(items: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
     """Items of orders cancelled more than 90 days ago go."""
-    gone = orders.filter((F.col("order_status") == "CANCELLED") & _before("order_date", as_of, 90))
-    return drop_members(items, "order_id", gone.select("order_id"))
+    return drop_members(items, "order_id", long_cancelled(orders, as_of).select("order_id"))
 
 
 def done_staging(staging: DataFrame, master: DataFrame, as_of: date) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowloom.session import shared_folder
+from rowloom.sources.commits import Change, beside, settle
 
 # Column names and types of the warehouse, in table order.
 # Money is DECIMAL(18,2) throughout.  address_type, customer_master.is_deleted and
@@ -70,8 +71,10 @@ def table_schema(name: str) -> T.StructType:
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Scan one table with its fixed schema; nothing is inferred.
 
-    ``order_day`` stays visible on orders, so a filter on it prunes directories.
+    ``order_day`` stays visible on orders, so a filter on it prunes directories.  A change of the table that was cut off is
+    ended first.
     """
+    settle(spark, f"{folder.rstrip('/')}/{name}")
     schema = table_schema(name)
     if "order_day" in PARTITIONS.get(name, []):
         schema = schema.add("order_day", T.DateType())
@@ -150,14 +153,15 @@ def write_bucketed(
     writer.saveAsTable(table)
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written to the shared folder and read back; left there for the cluster to clean up.
 
-    What follows reads the written rows, so a lost executor costs a re-read of its part only.
+    What follows reads the written rows, so a lost executor costs a re-read of its part only.  ``partition_by`` makes a
+    folder for each value of these columns, of which there should be few.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -167,19 +171,17 @@ def _hadoop(spark: SparkSession, path: str):
     return jvm.Path, jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _beside(path: str, what: str) -> str:
-    return f"{path.rstrip('/')}__{what}_{uuid.uuid4().hex}"
-
-
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the rows at ``path`` by ``df``, matched by column name; ``df`` may be computed from ``path`` itself.
 
     Every row-change operator returns the new table; this puts it in place.  The new rows are written once, to a
     folder beside the old one, and the folders are swapped when they are complete, so a write that fails leaves the
-    old table as it was.  On stores without a rename the swap is a copy.
+    old table as it was.  If the driver is lost between the two renames of the swap, the next ``read_table`` or change, or
+    ``commits.settle``, makes the second one.  On stores without a rename the swap is a copy.
     """
     spark = df.sparkSession
-    new, old = _beside(path, "new"), _beside(path, "old")
+    settle(spark, path)
+    new, old = beside(path, "new"), beside(path, "old")
     make, files = _hadoop(spark, path)
     try:
         if partition_by:
@@ -192,8 +194,9 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     there = files.exists(make(path))
     if there and not files.rename(make(path), make(old)):
         raise OSError(f"{path} cannot be moved aside; the new table is at {new}")
-    if not files.rename(make(new), make(path)):
-        if there:
+    # Someone who settles the table may have been faster.
+    if not files.rename(make(new), make(path)) and files.exists(make(new)):
+        if there and not files.exists(make(path)):
             files.rename(make(old), make(path))
         raise OSError(f"{new} cannot be moved to {path}")
     if there:
@@ -213,39 +216,25 @@ def change_partitions(
 
     ``table`` reads ``path``; ``touched`` is a condition on its partition columns, so only these directories are read.
     Partitions that lose their last row disappear.  A change that moves rows into a partition it has not read is refused.
-    Returns the directories that were replaced or dropped.
+    All partitions change or none does (``rowloom.sources.commits``).  Returns the directories that were replaced or dropped.
     """
-    spark = table.sparkSession
+    step = Change(table.sparkSession, path)
     part = table.filter(touched)
-    new, old = _beside(path, "new"), _beside(path, "old")
-    make, files = _hadoop(spark, path)
-    root = files.makeQualified(make(path)).toUri().getPath()
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    # Directory names, never rows; they are escaped as addresses are.
-    read = {make(unquote(r[0])).toUri().getPath() for r in part.select(folder).distinct().collect()}
-    read = {d.removeprefix(root).strip("/") for d in read}
+    # File names, never rows; they are escaped as addresses are.
+    names = part.select(F.col("_metadata.file_path")).distinct().collect()
+    old = [step.files.relative(unquote(r[0])) for r in names]
+    read = {n.rpartition("/")[0] for n in old}
     try:
-        write_partitioned(change(part), new, partition_by)
-        written = set()
-        listed = files.listFiles(make(new), True)
-        base = files.makeQualified(make(new)).toUri().getPath()
-        while listed.hasNext():
-            name = listed.next().getPath().toUri().getPath().removeprefix(base).strip("/")
-            if "/" in name:
-                written.add(name.rpartition("/")[0])
-        clash = [d for d in written - read if files.exists(make(f"{path}/{d}"))]
+        write_partitioned(change(part), step.staging, partition_by)
+        new = step.staged()
+        written = {n.rpartition("/")[0] for n in new}
+        clash = [d for d in written - read if step.files.exists(d)]
         if clash:
             raise ValueError(f"the change moves rows into partitions it has not read: {sorted(clash)[:3]}")
-        for d in sorted(read | written):
-            for source, target in ((f"{path}/{d}", f"{old}/{d}"), (f"{new}/{d}", f"{path}/{d}")):
-                if files.exists(make(source)):
-                    files.mkdirs(make(target).getParent())
-                    if not files.rename(make(source), make(target)):
-                        raise OSError(f"{source} cannot be moved to {target}")
-    finally:
-        files.delete(make(new), True)
-    files.delete(make(old), True)
-    spark.catalog.refreshByPath(path)
+    except BaseException:
+        step.abandon()
+        raise
+    step.commit(old, new)
     return sorted(read | written)
 
 
