@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.money import MONEY_TYPE, mean, rounded_ratio, total
 from rowloom.operators.joins import keys_of
+from rowloom.operators.ranking import HOT
 from rowloom.plans.views import (
     ITEM_ORDER,
     SOLD,
     customer_revenue,
     daily_sales_report,
+    hot_orders,
     item_order,
+    items_per_order,
     newest_first,
     sold_orders,
 )
@@ -67,12 +70,12 @@ def daily_recent(orders: DataFrame, as_of: date, days: int = 30) -> DataFrame:
     ).orderBy(F.col("sales_date").desc())
 
 
-def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places: int = 5) -> DataFrame:
+def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places: int = 5, hot: int = HOT) -> DataFrame:
     """The newest purchases of every customer.
 
-    An order fills at least one place, so only a customer's newest ``places`` orders can appear,
-    and of their items only the first ``places``.  Both cuts are exact and run as group limits
-    before the shuffle by customer, so neither a hot customer nor a hot order meets in one task.
+    An order fills at least one place, so only a customer's newest ``places`` orders can appear; the cut runs as a group limit
+    before the shuffle by customer, so a hot customer never meets in one task.  Of an order with more than ``hot`` items only
+    the first ``places`` can appear: these orders, if there are any, are cut likewise before the join.
     """
 
     def first_places(df: DataFrame, *order: Column) -> DataFrame:
@@ -82,16 +85,19 @@ def top_purchases(master: DataFrame, orders: DataFrame, items: DataFrame, places
     sold = sold_orders(orders).filter(F.col("customer_id").isNotNull())
     newest = first_places(sold, *newest_first().values()).drop("purchase_rank")
     in_order = (*newest_first().values(), *item_order())
-    # With at most ``places`` items an order is no hot key any more, and a plain left join is safe.
-    in_item_order = Window.partitionBy("order_id").orderBy(*item_order())
-    first_items = (
-        items.filter(F.col("order_id").isNotNull())
-        .select("order_id", *ITEM_ORDER)
-        .withColumn("__place", F.row_number().over(in_item_order))
-        .filter(F.col("__place") <= places)
-        .drop("__place")
-    )
-    bought = first_places(newest.join(first_items, "order_id", "left"), *in_order)
+    few = items.filter(F.col("order_id").isNotNull()).select("order_id", *ITEM_ORDER)
+    large = hot_orders(items_per_order(items), hot)
+    if large is not None:
+        in_item_order = Window.partitionBy("order_id").orderBy(*item_order())
+        first_items = (
+            few.join(large, "order_id")
+            .withColumn("__place", F.row_number().over(in_item_order))
+            .filter(F.col("__place") <= places)
+            .drop("__place")
+        )
+        few = few.join(large, "order_id", "left_anti").unionByName(first_items)
+    # With at most ``hot`` items an order is no hot key any more, and a plain left join is safe.
+    bought = first_places(newest.join(few, "order_id", "left"), *in_order)
     # A customer id may stand on several master rows, which share the places.
     named = master.select("customer_id", "customer_name", "email").join(bought.drop("purchase_rank"), "customer_id")
     return (

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowloom.functions.money import mean, total
-from rowloom.operators.ranking import weight_before
+from rowloom.operators.ranking import HOT, number_rows, weight_before
+from rowloom.sources.tables import kept
 
 # Order states that count as a sale.
 SOLD = ("COMPLETED", "PENDING")
@@ -28,6 +29,16 @@ def item_order() -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in ITEM_ORDER]
 
 
+def newest_first_values() -> list[Column]:
+    """The same order of orders as ascending values, NULL first, which splitters can be taken from."""
+    late = -F.unix_micros("order_date")
+    return [F.col("order_date").isNull(), late, F.col("order_id").isNull(), F.col("order_id")]
+
+
+def item_order_values() -> list[Column]:
+    return [value for c in ITEM_ORDER for value in (F.col(c).isNull(), F.col(c))]
+
+
 def sold_orders(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("order_status").isin(*SOLD)).select(
         "customer_id", "order_id", "order_date", "total_amount"
@@ -39,44 +50,50 @@ def items_per_order(items: DataFrame) -> DataFrame:
     return items.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.count(F.lit(1)).alias("__items"))
 
 
-def sales_analysis(master: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+def hot_orders(sizes: DataFrame, hot: int) -> DataFrame | None:
+    """The ids of orders with more than ``hot`` items, a kept table; None if there are none."""
+    found = kept(sizes.filter(F.col("__items") > hot).select("order_id"), "large-orders")
+    return None if found.isEmpty() else found
+
+
+def sales_analysis(master: DataFrame, orders: DataFrame, items: DataFrame, hot: int = HOT) -> DataFrame:
     """Every sold item with its place among the customer's purchases, newest first.
 
     Customers without a sale do not appear: the status condition turns the first left
     join into an inner one.  Orders without items do, with empty item columns.  The place
     counts items, not orders.
 
-    The places are prepared on orders, which know how many item rows they stand for: the rows
-    of earlier orders are added up in day slices, so a customer with a large share of all
-    orders is spread over many tasks.  The items are then shuffled once, for their join, and
-    numbered inside their order without another shuffle.
+    The places are prepared on orders, which know how many item rows they stand for.  Orders with their numbers of items and the
+    names of their customers are kept, so customers and orders are read once, items twice.  A customer of more than
+    ``hot`` orders, and an order of more than ``hot`` items, are cut into pieces at splitters of their order, so also undated
+    orders and the items of one order are spread over many tasks.
     """
-    counted = (
-        sold_orders(orders)
-        .join(items_per_order(items), "order_id", "left")
-        .withColumn("__rows", F.coalesce("__items", F.lit(1)))
-        # Undated purchases come last, so they share the slice before every other day.
-        .withColumn("__day", F.coalesce(F.to_date("order_date"), F.lit("0001-01-01").cast("date")))
-    )
-    placed = weight_before(
-        master.select("customer_id", "customer_name", "email").join(counted, "customer_id"),
-        ["customer_id"],
-        "__day",
-        F.col("__day").desc(),
-        newest_first(),
-        "__rows",
-        "__before",
-    )
+    sizes = kept(items_per_order(items), "order-sizes")
+    counted = sold_orders(orders).join(sizes, "order_id", "left").withColumn("__rows", F.coalesce("__items", F.lit(1)))
+    named = kept(master.select("customer_id", "customer_name", "email").join(counted, "customer_id"), "named-orders")
+    placed = weight_before(named, ["customer_id"], newest_first_values(), "__rows", "__before", hot)
+    bought = items.select("order_id", *ITEM_ORDER)
+    large = hot_orders(sizes, hot)
+    usual = placed if large is None else placed.join(large, "order_id", "left_anti")
     # Orders of one id and instant share their places, as they are told apart by items only.
-    within = Window.partitionBy("order_id", "customer_id", "order_date").orderBy(*item_order())
-    return (
-        placed.join(items.select("order_id", *ITEM_ORDER), "order_id", "left")
-        .withColumn("purchase_rank", F.col("__before") + F.row_number().over(within))
-        .select(
-            "customer_id", "customer_name", "email", "order_id", "order_date", "total_amount",
-            "product_id", "quantity", "unit_price", "purchase_rank",
+    same = Window.partitionBy("order_id", "customer_id", "order_date")
+    within = same.orderBy(*item_order())
+    few = bought if large is None else bought.join(large, "order_id", "left_anti")
+    ranked = usual.join(few, "order_id", "left").withColumn("__in", F.row_number().over(within))
+    if large is not None:
+        inside = kept(bought.join(large, "order_id"), "items-of-large-orders")
+        numbered = number_rows(inside, ["order_id"], item_order_values(), "__place", hot)
+        # Rows of an order that comes several times follow each other item by item.
+        copies = placed.join(large, "order_id").withColumns(
+            {"__copies": F.count(F.lit(1)).over(same), "__nth": F.row_number().over(same.orderBy("email"))}
         )
-    )
+        place = (F.col("__place") - 1) * F.col("__copies") + F.col("__nth")
+        spread = copies.join(numbered, "order_id").withColumn("__in", place)
+        ranked = ranked.unionByName(spread.drop("__copies", "__nth", "__place"))
+    return ranked.select(
+        "customer_id", "customer_name", "email", "order_id", "order_date", "total_amount",
+        "product_id", "quantity", "unit_price", (F.col("__before") + F.col("__in")).alias("purchase_rank"),
+    )
 
 
 def daily_sales_report(orders: DataFrame, since: date | None = None) -> DataFrame:

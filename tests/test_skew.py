@@ -6,9 +6,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.operators.ranking import weight_before
+from rowloom.operators import ranking
+from rowloom.operators.ranking import number_rows, weight_before
 from rowloom.plans import reports, views
 from rowloom.session import shared_folder
+from rowloom.sources.tables import kept
 
 ORDERS = "order_id string, customer_id string, order_date timestamp, order_status string, total_amount decimal(18,2)"
 
@@ -110,16 +112,66 @@ def test_customer_history(spark, hot, rows):
     assert rows(reports.customer_history(hot["customer_master"], hot["raw_order"], "c0")) == rows(want)
 
 
-def test_weight_before_equals_one_window(spark, rows):
-    df = spark.range(500).selectExpr(
-        "IF(id % 3 = 0, 0, id % 5) AS k", "id % 7 AS day", "id % 7 * 10 + id % 3 AS at", "id % 4 + 1 AS w", "id"
-    )
-    got = weight_before(df, ["k"], "day", F.col("day").desc(), {"at": F.col("at").desc()}, "w", "before")
+@pytest.mark.parametrize("bound", [1_000_000, 100, 10, 1])
+def test_running_sums_and_numbers_equal_one_window(spark, rows, bound):
+    """Ties, NULLs in the order, groups of one row, groups just above and below the bound."""
+    df = kept(spark.range(500).selectExpr(
+        "IF(id % 3 = 0, 0, id % 5) AS k", "IF(id % 9 = 0, NULL, id % 7 * 10 + id % 3) AS at", "id % 4 + 1 AS w", "id"
+    ), "rows")
+    order = [F.col("at").isNull(), -F.col("at")]
+    got = weight_before(df, ["k"], order, "w", "before", bound)
     want = df.selectExpr(
         "*",
-        "sum(w) OVER (PARTITION BY k ORDER BY at DESC) - sum(w) OVER (PARTITION BY k, at) AS before",
+        """sum(w) OVER (PARTITION BY k ORDER BY at DESC NULLS LAST) - sum(w) OVER (PARTITION BY k, at) AS before""",
     )
     assert rows(got.select(*want.columns)) == rows(want)
+    numbered = number_rows(df, ["k"], [*order, F.col("id")], "n", bound)
+    want = df.selectExpr("*", "CAST(row_number() OVER (PARTITION BY k ORDER BY at DESC NULLS LAST, id) AS BIGINT) AS n")
+    assert rows(numbered.select(*want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("bound", [40, 300])
+def test_sales_view_and_top_purchases_with_pieces(spark, hot, bound):
+    """Customer, order and undated orders are cut."""
+    assert without_copies(views.sales_analysis(*hot.values(), hot=bound)) == without_copies(sql(spark, hot, SALES))
+    got = reports.top_purchases(*hot.values(), hot=bound).drop("calculated_total")
+    assert without_copies(got) == without_copies(sql(spark, hot, SALES).filter("purchase_rank <= 5"))
+
+
+@pytest.mark.parametrize("column", ["order_id", "customer_id"])
+def test_pieces_are_even(spark, column):
+    """A third of all items in one order, and a third of all orders undated and of one customer: no piece is twice the median."""
+    rows = spark.range(60_000).selectExpr(
+        f"IF(id % 3 = 0, 'h', CAST(id % 9000 AS STRING)) AS {column}", "CAST(NULL AS TIMESTAMP) AS order_date",
+        "md5(CAST(id AS STRING)) AS order_item_id", "id % 5 AS product_id",
+    )
+    df = kept(rows, "rows")
+    groups = ranking.hot_groups(df, [column], 1000)
+    order = [F.col("order_date").isNull(), -F.unix_micros("order_date"), F.col("order_item_id")]
+    cut = ranking._cut(df, [column], order, groups, 1000)
+    sizes = sorted(r["count"] for r in cut.groupBy(column, "__piece").count().collect())
+    assert sum(sizes) == 20_000 and len(sizes) == 20 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def scans(df):
+    """Paths of all files that the final plan reads."""
+    plan = plan_of(df)
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_scans_of_views_and_statement_table(spark):
+    """Customers and orders are read once, items twice, the corpus once; later reads are of kept tables."""
+    import __spark_entry__ as registered
+    from tests.conftest import SMALL
+
+    read = []
+    for name in ("v1_sales_analysis", "l22_query_text"):
+        df = registered.own_queries()[name](spark, SMALL)
+        read.append(scans(df))
+    # What is left to the last plan: kept orders with their customers, and the items; kept statements and kept sizes.
+    assert len(read[0]) <= 4 and len(read[1]) <= 4
+    assert sum("lineitem" in s for s in read[0]) == 1 and not any("orders.parquet" in s or "customer.parquet" in s for s in read[0])
+    assert not any(f"{SMALL}/" in s for s in read[1])
 
 
 def plan_of(df):
@@ -134,6 +186,7 @@ def test_top_purchases_cut_groups_before_the_shuffle(spark, hot):
 
 def test_no_plan_broadcasts_by_hint_or_crosses(spark):
     """Broadcasts are Spark's own choice by size; with that choice off there are none."""
+    # Plans that keep tables run a part here, on the smallest input.
     import __spark_entry__ as registered
     from tests.conftest import SMALL
 
