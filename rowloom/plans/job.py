@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowloom.plans.lineage import lineage
 from rowloom.plans.lines import JOB_WORDS, KEYWORDS, emrput_lines, has_any, script_keyword_lines
-from rowloom.plans.statements import EXCLUDED, query_text, split_statements, temp_objects
+from rowloom.plans.statements import EXCLUDED, query_text, scan_once
 from rowloom.session import use_utc
 from rowloom.sources import sinks
 from rowloom.sources.scripts import check_hidden, list_scripts, scan_lines, scan_scripts, scan_variables, variable_map
@@ -47,8 +47,8 @@ def run_lineage(
 ) -> Outputs:
     """Read every script below ``source_dir`` and write all outputs of a run.
 
-    ``op_dtm`` is the stamp of the run, ``YYYY-MM-DD HH:MM:SS``.  The statements are cut out
-    once and kept as a table in the shared folder: lineage and statement text both read that
+    ``op_dtm`` is the stamp of the run, ``YYYY-MM-DD HH:MM:SS``.  The scripts are read twice, whole for statements and
+    temporary names, line by line for words.  What is found is kept in the shared folder: lineage and statement text both read that
     table, and a lost executor costs a re-read, not the scan.  ``excluded`` are texts whose statements are left out.
     Scripts whose names Spark does not read fail the run unless ``skip_hidden``; empty files count as files.
     """
@@ -59,13 +59,13 @@ def run_lineage(
     check_hidden(listing, skip_hidden)
 
     files = scan_scripts(spark, source_dir, skip_hidden)
-    statements = kept(split_statements(files, excluded), "statements")
+    statements, temps = scan_once(files, excluded)
 
     # One pass over the lines for all words; the outputs below are parts of the kept hits.
     wanted = has_any(F.col("line"), KEYWORDS) | has_any(F.col("line"), JOB_WORDS, case_sensitive=True)
     lines = kept(scan_lines(spark, source_dir).filter(wanted), "lines")
     tables: dict[str, DataFrame] = {
-        mode.lower(): lineage(statements, temp_objects(files), variables, mode, run_id, op_dtm),
+        mode.lower(): lineage(statements, temps, variables, mode, run_id, op_dtm),
         "query_text": query_text(statements, op_dtm),
         "emrput": emrput_lines(lines),
         "default": script_keyword_lines(lines, ["default"]),

@@ -11,7 +11,7 @@ from rowloom.functions.names import is_table_name, map_of, resolve, schema_part,
 from rowloom.functions.text import QUOTED_TEXT, count_file_lines, has_keyword, lead
 from rowloom.plans.lines import count_lines, has_any, job_word
 from rowloom.plans.statements import CREATED, classify, split_statements
-from rowloom.plans.tokens import STATEMENT_KEY, read_names, reads_and_ctes, spread_texts
+from rowloom.plans.tokens import LONG, STATEMENT_KEY, read_names, reads_and_ctes, spread_texts
 from rowloom.sources.scripts import split_path
 
 # What stands in front of the name of a changed object.
@@ -42,41 +42,71 @@ def target_names(text: Column) -> Column:
     return F.array_sort(F.array_distinct(names))
 
 
-def statement_facts(statements: DataFrame) -> DataFrame:
+def statement_facts(statements: DataFrame, long: int | None = None) -> DataFrame:
     """One row per statement: types, targets, reads and WITH names.
 
-    Both sides of the join hang on the same exchange of the statement texts.
+    Both sides of the join hang on the same exchange of the statement texts.  ``long`` as in ``tokens.token_table``.
     """
     known = classify(spread_texts(statements)).withColumn("targets", target_names(F.col("query_text"))).drop("query_text")
     return (
-        known.join(reads_and_ctes(statements), list(STATEMENT_KEY), "left")
+        known.join(reads_and_ctes(statements, long), list(STATEMENT_KEY), "left")
         .selectExpr("* EXCEPT (reads, ctes)", "coalesce(reads, array()) AS reads", "coalesce(ctes, array()) AS ctes")
         .withColumn("sources", read_names(F.col("reads")))
     )
 
 
-def cte_depths() -> Column:
-    """WITH name → 1 + the largest depth of the names it reads, whatever order they are written in.
+def _bound(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
 
-    A name that is read by what it reads, itself included, counts as depth 1 there.  ``reach`` is the closure of the
-    reads, doubled until it must be complete; depths are repeated once per name, the longest path there can be.
+def _sweep(depths: str, forward: bool) -> str:
+    """One pass over the names in written order, or against it: a name gets its depth once all it reads have theirs.
+
+    Depths are an array by place, 0 where open.  ``acc`` holds the places passed so far, with what this pass has found.
     """
-    return F.expr(
-        """aggregate(array(map_from_arrays(ctes, transform(ctes, c -> array_intersect(ctes, transform(
-                         filter(reads, r -> r.owner = c), r -> upper(r.name)))))),
-             CAST(map() AS MAP<STRING, INT>),
-             (nothing, direct) -> aggregate(
-               array(aggregate(sequence(0, CAST(ceil(log2(size(ctes) + 1)) AS INT)), direct,
-                     (reach, i) -> transform_values(reach, (c, seen) ->
-                         array_union(seen, flatten(transform(seen, s -> reach[s])))))),
-               nothing,
-               (none, reach) -> aggregate(sequence(1, size(ctes)), map_from_arrays(ctes, transform(ctes, c -> 1)),
-                     (depth, i) -> transform_values(depth, (c, d) -> 1 + coalesce(array_max(transform(direct[c],
-                         s -> IF(array_contains(reach[s], c), 1, depth[s]))), 0)))))"""
-    )
+    if forward:
+        known, joined, places = f"IF(r < i, acc[r], {depths}[r])", "concat(acc, array({}))", "sequence(0, n - 1)"
+    else:
+        known, joined, places = f"IF(r > i, acc[r - i - 1], {depths}[r])", "concat(array({}), acc)", "sequence(n - 1, 0, -1)"
+    read = f"transform(direct[i], r -> IF(r = i, 0, {known}))"
+    new = _bound("d", read, "IF(exists(d, x -> x = 0), 0, 1 + coalesce(array_max(d), 0))")
+    value = f"IF({depths}[i] > 0, {depths}[i], {new})"
+    return f"aggregate({places}, CAST(array() AS ARRAY<INT>), (acc, i) -> {joined.format(value)})"
 
 
-def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
+def cte_depths() -> Column:
+    """WITH name → 1 + the largest depth of the names it reads, whatever order they are written in.
+
+    A name that is read by what it reads, itself included, counts as depth 1 there.
+
+    Names are places in the list.  Passes over the list, forwards and backwards, close every name whose reads are closed, until
+    nothing changes: one pass for lists in order, as names are mostly written.  What is left reads a ring.  For these names
+    alone ``reach`` is the closure of the reads, doubled until it must be complete, and depths are repeated once per name.
+    """
+    direct = """transform(ctes, c -> array_distinct(filter(transform(filter(reads, r -> r.owner = c),
+                    r -> CAST(array_position(ctes, upper(r.name)) AS INT) - 1), p -> p >= 0)))"""
+    both = _bound("f", _sweep("s.depths", True), f"IF(exists(f, x -> x = 0), {_sweep('f', False)}, f)")
+    step = _bound("b", both, "struct(b AS depths, b = s.depths OR NOT exists(b, x -> x = 0) AS done)")
+    start = "struct(transform(ctes, c -> 0) AS depths, false AS done)"
+    swept = f"aggregate(sequence(1, n), {start}, (s, k) -> IF(s.done, s, {step}), s -> s.depths)"
+    # Reads among the open places, and the largest depth among the closed ones.
+    inner = "map_from_arrays(open, transform(open, i -> filter(direct[i], r -> swept[r] = 0)))"
+    floor = "map_from_arrays(open, transform(open, i -> coalesce(array_max(transform(direct[i], r -> swept[r])), 0)))"
+    closure = """aggregate(sequence(0, CAST(ceil(log2(size(open) + 1)) AS INT)), inner, (reach, i) ->
+                     transform_values(reach, (c, seen) -> array_union(seen, flatten(transform(seen, s -> reach[s])))))"""
+    ringed = """aggregate(sequence(1, size(open)), map_from_arrays(open, transform(open, i -> 1)), (depth, k) ->
+                    transform_values(depth, (c, d) -> 1 + greatest(floor[c], coalesce(array_max(transform(inner[c],
+                        s -> IF(array_contains(reach[s], c), 1, depth[s]))), 0))))"""
+    rings = _bound("inner", inner, _bound("floor", floor, _bound("reach", closure, ringed)))
+    merged = "transform(swept, (d, i) -> IF(d > 0, d, rings[i]))"
+    closed = f"IF(size(open) = 0, swept, {_bound('rings', rings, merged)})"
+    opened = _bound("open", "filter(sequence(0, n - 1), i -> swept[i] = 0)", closed)
+    whole = _bound("n", "size(ctes)", _bound("direct", direct, _bound("swept", swept, opened)))
+    return F.expr(f"IF(size(ctes) = 0, CAST(map() AS MAP<STRING, INT>), map_from_arrays(ctes, {whole}))")
+
+
+def edges(statements: DataFrame, mode: str = "SIMPLE", long: int | None = None) -> DataFrame:
     """(dir_file, stmt_no, types, source, target, depth), unique pairs per statement.
 
     SIMPLE looks through WITH names: physical sources to targets.  DETAIL adds what each WITH
@@ -86,7 +116,7 @@ def edges(statements: DataFrame, mode: str = "SIMPLE") -> DataFrame:
         raise ValueError(f"mode is one of {MODES}")
     nothing = "array(CAST(NULL AS STRING))"
     facts = (
-        statement_facts(statements)
+        statement_facts(statements, long)
         .filter("size(sources) > 0 OR size(targets) > 0")
         .selectExpr(
             "*",
@@ -171,9 +201,10 @@ def lineage(
     mode: str,
     run_id: str,
     op_dtm: str,
+    long: int | None = LONG,
 ) -> DataFrame:
-    """The lineage table of one run."""
-    rows = with_resolved_names(with_object_types(edges(statements, mode), temps), variables)
+    """The lineage table of one run.  ``statements`` should be a kept table, as long ones are looked for first."""
+    rows = with_resolved_names(with_object_types(edges(statements, mode, long), temps), variables)
     return (
         split_path(rows)
         .withColumn("run_id", F.lit(run_id))

@@ -4,6 +4,11 @@ Every question about brackets, clauses and WITH names is a running value over th
 statement.  The statement texts are spread by (dir_file, stmt_no) once, before they are cut into
 tokens; everything after that stays in the same partition, so the text is shuffled and the
 many times larger token table never is.  A window covers one statement, never a file.
+
+A statement with more than ``long`` characters, such as a generated one, is cut into pieces of ``PIECE`` tokens.  A running value is then
+that of its piece combined with the totals of the pieces before: sums add up, the lowest is the lower one, the first and the
+last are the first and the last that there are.  Steps between pieces are kept tables.  Such statements must be looked for, so
+``statements`` is read twice then and should be a kept table.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from pyspark.sql import functions as F
 
 from rowloom.functions.names import is_table_name, tidy
 from rowloom.plans.statements import without_quotes
+from rowloom.sources.tables import kept
 
 STATEMENT_KEY = ("dir_file", "stmt_no")
 
@@ -49,10 +55,56 @@ WITH_LEADS = ("WITH", "RECURSIVE", ",")
 LIST_LEADS = ("FROM", "JOIN", "USING", ",")
 
 
-# Windows over one statement in written order.
-STATEMENT = "PARTITION BY dir_file, stmt_no"
-SO_FAR = f"({STATEMENT} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-EARLIER = f"({STATEMENT} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+# Characters from which a statement is cut, and tokens of a piece.
+LONG, PIECE = 4_000_000, 200_000
+
+# A total of a piece, and the running value of totals, for each kind of running value.
+TOTALS = {
+    "sum": ("sum({0})", "sum({0})"),
+    "min": ("min({0})", "min({0})"),
+    "first": ("min_by({0}, pos) FILTER (WHERE ({0}) IS NOT NULL)", "first({0}, true)"),
+    "last": ("max_by({0}, pos) FILTER (WHERE ({0}) IS NOT NULL)", "last({0}, true)"),
+}
+# How the value inside a piece and that of the pieces before are one.
+COMBINED = {
+    "sum": "coalesce({carried}, 0) + {inside}",
+    "min": "least({carried}, {inside})",
+    "first": "coalesce({carried}, {inside})",
+    "last": "coalesce({inside}, {carried})",
+}
+
+
+def running(
+    table: DataFrame, values: dict[str, tuple[str, str, bool]], keys: Sequence[str] = STATEMENT_KEY, pieces: bool = False
+) -> DataFrame:
+    """``table`` with running values over the rows of ``keys`` in written order.
+
+    ``values`` are by name: the kind (sum, min, first or last, both not NULL), the expression, and whether the row itself counts.
+    """
+
+    def inside(*parts: str) -> list[str]:
+        frame = f"PARTITION BY {', '.join(parts)} ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND"
+        return [
+            f"{TOTALS[kind][1].format(value)} OVER ({frame} {'CURRENT ROW' if through else '1 PRECEDING'}) AS {name}"
+            for name, (kind, value, through) in values.items()
+        ]
+
+    if not pieces:
+        return table.selectExpr("*", *inside(*keys))
+    table = kept(table, "token-pieces")
+    totals = table.groupBy(*keys, "__piece").agg(
+        *[F.expr(TOTALS[kind][0].format(value)).alias(f"__t_{name}") for name, (kind, value, _) in values.items()]
+    )
+    before = f"(PARTITION BY {', '.join(keys)} ORDER BY __piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carried = totals.selectExpr(
+        *keys, "__piece",
+        *[f"{TOTALS[kind][1].format(f'__t_{name}')} OVER {before} AS __c_{name}" for name, (kind, *_) in values.items()],
+    )
+    both = table.selectExpr("*", *inside(*keys, "__piece")).join(carried, [*keys, "__piece"])
+    combined = [
+        f"{COMBINED[kind].format(carried=f'__c_{name}', inside=name)} AS {name}" for name, (kind, *_) in values.items()
+    ]
+    return both.selectExpr(*table.columns, *combined)
 
 
 def _in(column: str, words: Sequence[str]) -> str:
@@ -83,17 +135,18 @@ def _shifted(array: Column, by: int) -> Column:
     return F.concat(F.array(*[F.lit("")] * by), array)
 
 
-def tokens(statements: DataFrame) -> DataFrame:
+def tokens(statements: DataFrame, pieces: bool = False) -> DataFrame:
     """The tokens that decide something, each with its neighbours by position.
 
     Columns: ``pos``, ``tok`` and its upper-case form ``up``; ``p1``, ``p2``, ``p3`` the upper-case
     tokens before it and ``p1_tok``, ``p2_tok`` as written; ``next_up`` the token after it;
     ``first_up`` the first token of the statement.  Brackets, clause words and words after FROM,
     JOIN, USING or a comma are kept, everything else only serves as a neighbour: the running
-    values below change at kept tokens alone.
+    values below change at kept tokens alone.  ``pieces`` adds the piece of a row.
     """
     found = F.regexp_extract_all(without_quotes(F.col("query_text")), F.lit(TOKEN), F.lit(0))
-    cut = spread_texts(statements).select(*STATEMENT_KEY, found.alias("__toks"))
+    # A long text is a row that no shuffle spreads any better.
+    cut = (statements if pieces else spread_texts(statements)).select(*STATEMENT_KEY, found.alias("__toks"))
     toks = F.col("__toks")
     row = F.arrays_zip(
         toks.alias("tok"),
@@ -110,26 +163,23 @@ def tokens(statements: DataFrame) -> DataFrame:
         *STATEMENT_KEY, "first_up", "pos", "tok", "p1_tok", "p2_tok",
         *[F.upper(column).alias(name) for name, column in upper.items()],
     )
-    return rows.filter(
+    decide = rows.filter(
         f"tok IN ('(', ')') OR {_in('up', ('WITH', *CLAUSES, *MAIN_WORDS))} OR {_in('p1', LIST_LEADS)}"
     )
+    return decide.withColumn("__piece", F.floor(F.col("pos") / PIECE)) if pieces else decide
 
 
-def with_depth(table: DataFrame) -> DataFrame:
+def with_depth(table: DataFrame, pieces: bool = False) -> DataFrame:
     """Bracket depth, both brackets inside; a closing bracket too many does not go below 0."""
-    return (
-        table.selectExpr("*", f"sum(CASE tok WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER {SO_FAR} AS __sum")
-        .selectExpr(
-            "*",
-            f"least(0, min(__sum) OVER {SO_FAR}) AS __low",
-            f"least(0, coalesce(min(__sum) OVER {EARLIER}, 0)) AS __low_before",
-        )
-        .selectExpr("* EXCEPT (__sum, __low, __low_before)",
-                    "CAST(IF(tok = ')', __sum + 1 - __low_before, __sum - __low) AS INT) AS depth")
+    table = running(table, {"__sum": ("sum", "CASE tok WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END", True)}, pieces=pieces)
+    table = running(table, {"__low": ("min", "__sum", True), "__low_before": ("min", "__sum", False)}, pieces=pieces)
+    return table.selectExpr(
+        "* EXCEPT (__sum, __low, __low_before)",
+        """CAST(IF(tok = ')', __sum + 1 - least(0, coalesce(__low_before, 0)), __sum - least(0, __low)) AS INT) AS depth""",
     )
 
 
-def with_owner(table: DataFrame) -> DataFrame:
+def with_owner(table: DataFrame, pieces: bool = False) -> DataFrame:
     """The WITH name a row belongs to, and the rows that open the body of one.
 
     The list may stand at any depth; names may carry a column list.  ``cte_opens`` is the
@@ -139,43 +189,58 @@ def with_owner(table: DataFrame) -> DataFrame:
     main = _in("up", ("WITH", *MAIN_WORDS))
     named = f"""CASE WHEN {_is_word('p2_tok')} AND {_in('p3', WITH_LEADS)} THEN upper(p2_tok)
                      WHEN p2 = ')' AND {_in('__list_lead', WITH_LEADS)} THEN upper(__list_name) END"""
-    return (
-        table.selectExpr("*", f"first(IF(up = 'WITH', depth, NULL), true) OVER {SO_FAR} AS __base")
-        .selectExpr(
-            "*",
-            f"last(IF(depth = __base AND {main}, up, NULL), true) OVER {SO_FAR} AS __main",
+    table = running(table, {"__base": ("first", "IF(up = 'WITH', depth, NULL)", True)}, pieces=pieces)
+    table = running(
+        table,
+        {
+            "__main": ("last", f"IF(depth = __base AND {main}, up, NULL)", True),
             # The bracket before this one at the same depth: a column list, if this opens a body.
-            f"last(IF({opens}, p1_tok, NULL), true) OVER {EARLIER} AS __list_name",
-            f"last(IF({opens}, p2, NULL), true) OVER {EARLIER} AS __list_lead",
-        )
-        .selectExpr("*", f"IF({opens} AND __main = 'WITH' AND p1 = 'AS', {named}, NULL) AS cte_opens")
-        .selectExpr("*", f"last(IF({opens}, coalesce(cte_opens, ''), NULL), true) OVER {SO_FAR} AS __inside")
-        .selectExpr(
-            "* EXCEPT (__base, __main, __list_name, __list_lead, __inside)",
-            "IF(depth > __base, nullif(__inside, ''), NULL) AS owner",
-        )
+            "__list_name": ("last", f"IF({opens}, p1_tok, NULL)", False),
+            "__list_lead": ("last", f"IF({opens}, p2, NULL)", False),
+        },
+        pieces=pieces,
+    )
+    table = table.selectExpr("*", f"IF({opens} AND __main = 'WITH' AND p1 = 'AS', {named}, NULL) AS cte_opens")
+    table = running(table, {"__inside": ("last", f"IF({opens}, coalesce(cte_opens, ''), NULL)", True)}, pieces=pieces)
+    return table.selectExpr(
+        "* EXCEPT (__base, __main, __list_name, __list_lead, __inside)",
+        "IF(depth > __base, nullif(__inside, ''), NULL) AS owner",
     )
 
 
-def with_group(table: DataFrame) -> DataFrame:
+def with_group(table: DataFrame, pieces: bool = False) -> DataFrame:
     """The bracket a row stands in (-1 outside), and whether that bracket holds function arguments."""
-    window = "(PARTITION BY dir_file, stmt_no, depth ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     call = f"({_is_word('p1')} AND NOT {_in('p1', NO_FUNCTION)} AND coalesce(next_up, '') NOT IN ('SELECT', 'WITH'))"
-    return table.selectExpr(
-        "*",
-        f"IF(depth = 0, -1, last(IF(tok = '(', pos, NULL), true) OVER {window}) AS grp",
-        f"depth > 0 AND coalesce(last(IF(tok = '(', {call}, NULL), true) OVER {window}, false) AS in_call",
+    opened = {"__at": ("last", "IF(tok = '(', pos, NULL)", True), "__call": ("last", f"IF(tok = '(', {call}, NULL)", True)}
+    return running(table, opened, [*STATEMENT_KEY, "depth"], pieces).selectExpr(
+        "* EXCEPT (__at, __call)",
+        "IF(depth = 0, -1, __at) AS grp",
+        "depth > 0 AND coalesce(__call, false) AS in_call",
     )
 
 
-def with_clause(table: DataFrame) -> DataFrame:
+def with_clause(table: DataFrame, pieces: bool = False) -> DataFrame:
     """The last clause word before a row in its own bracket."""
-    window = "(PARTITION BY dir_file, stmt_no, grp ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    return table.selectExpr("*", f"last(IF({_in('up', CLAUSES)}, up, NULL), true) OVER {window} AS clause")
+    last = {"clause": ("last", f"IF({_in('up', CLAUSES)}, up, NULL)", False)}
+    return running(table, last, [*STATEMENT_KEY, "grp"], pieces)
+
+
+def token_table(statements: DataFrame, long: int | None = None) -> DataFrame:
+    """All tokens that decide something with their running values; statements above ``long`` characters go in pieces."""
 
+    def whole(texts: DataFrame, pieces: bool) -> DataFrame:
+        table = tokens(texts, pieces)
+        for step in (with_depth, with_owner, with_group, with_clause):
+            table = step(table, pieces)
+        return table
 
-def token_table(statements: DataFrame) -> DataFrame:
-    return with_clause(with_group(with_owner(with_depth(tokens(statements)))))
+    if long is None:
+        return whole(statements, False)
+    above = F.length("query_text") > long
+    cut = statements.filter(above)
+    if cut.isEmpty():
+        return whole(statements, False)
+    return whole(statements.filter(~above), False).unionByName(whole(cut, True).drop("__piece"))
 
 
 def source_name() -> Column:
@@ -197,12 +262,12 @@ def source_name() -> Column:
     return F.when(reads & is_table_name(name), name)
 
 
-def reads_and_ctes(statements: DataFrame) -> DataFrame:
+def reads_and_ctes(statements: DataFrame, long: int | None = None) -> DataFrame:
     """One row per statement: ``reads`` (owner, name) pairs and ``ctes`` names in written order.
 
     Grouped by the key the tokens are already spread by, so no further shuffle.
     """
-    table = token_table(statements)
+    table = token_table(statements, long)
     marked = table.select(*STATEMENT_KEY, "pos", "owner", source_name().alias("name"), "cte_opens").filter(
         F.col("name").isNotNull() | F.col("cte_opens").isNotNull()
     )
