@@ -520,6 +520,38 @@ DELETES = {
 }
 
 
+CSV_TEXT = "coalesce(CAST({0} AS VARCHAR), '') AS {0}"
+STORED = {
+    "s01_write_read": ("SELECT * FROM customer_staging", "customer_staging"),
+    "s02_partitioned": ("SELECT * FROM customer_master", "customer_master"),
+    "s03_order_days": ("SELECT * FROM data_quality_log", "data_quality_log"),
+    "s04_buckets": ("SELECT * FROM raw_customer", "raw_customer"),
+    "s05_defaults": (
+        f"SELECT * REPLACE (FALSE AS is_deleted, {RUN_TS} AS created_at, CAST(NULL AS VARCHAR) AS phone) FROM customer_staging",
+        "customer_staging"),
+    "s06_overwrite": UPDATES["u01_update_by_key"],
+    "s06_change_partitions": (
+        """SELECT * REPLACE (CASE WHEN table_name = 'raw_order' THEN upper(check_type) ELSE result END AS result)
+           FROM data_quality_log""", "data_quality_log"),
+    "s09_csv": (
+        f"""SELECT {", ".join(CSV_TEXT.format(c) for c in (
+            "order_item_id", "order_id", "product_id", "quantity", "unit_price", "item_total"))},
+            strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM raw_order_item""", "raw_order_item"),
+    "s13_unload": (
+        """WITH q AS (SELECT country, customer_id, email FROM customer_master WHERE total_orders IS NULL OR total_orders > 3)
+           SELECT *, (SELECT count(*) FROM q) AS counted FROM q""", "customer_master"),
+    "s16_truncate": (
+        """SELECT CAST(0 AS BIGINT) AS n, (SELECT string_agg(column_name, ',' ORDER BY column_name) FROM
+           (SELECT unnest(['customer_id', 'customer_name', 'email', 'phone', 'registration_date', 'country', 'is_deleted',
+            'created_at']) AS column_name)) AS columns""", "customer_staging"),
+}
+#: Changes by file are checked by the SQL of the whole-table form.
+BY_FILE = (
+    "u01_update_by_key", "u03_merge_customers", "u04_merge_orders", "u11_merge_aggregated", "d01_by_key", "d03_orphan_orders",
+    "d07_cancelled_items", "d20_mask_deleted",
+)
+
+
 # What every script template holds: (sql type, class, text, target, sources) per statement.
 # Names are SQL expressions over the template parameters a and b.
 M_A, TV_A, DW_A = "'m.t' || a", "'tv' || a", "'${DW}.t' || a"
@@ -651,6 +683,11 @@ LINEAGE = {
         SELECT doc_id, 'thing' AS keyword, {_strip('line')} AS line
         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
         WHERE contains(lower(line), 'thing')""",
+    "l02_keyword_table": f"""
+        WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+        k AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS keyword FROM benchmark)
+        SELECT keyword, count(*) AS lines, count(DISTINCT doc_id) AS documents
+        FROM l JOIN (SELECT keyword FROM k) q ON contains(lower(line), lower(keyword)) GROUP BY keyword""",
     "l03_emrput_lines": f"""
         WITH {SCRIPTS}, {SCRIPT_LINES}
         SELECT base_directory, file_name, dir_file,
@@ -700,5 +737,7 @@ LINEAGE = {
 
 
 def all_sql() -> dict[str, str]:
-    groups = {**REPORTS, **UPDATES, **DELETES}
+    changes = {**UPDATES, **DELETES}
+    by_file = {f"{n.partition('_')[0]}_files_{n.partition('_')[2]}": changes[n] for n in BY_FILE}
+    groups = {**REPORTS, **changes, **STORED, **by_file}
     return {**{name: _with_views(body, *views) for name, (body, *views) in groups.items()}, **LINEAGE}

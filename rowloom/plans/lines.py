@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.functions.text import file_lines, has_keyword, strip
+from rowloom.operators.wordsearch import find_words
 from rowloom.sources.scripts import split_path
 
 # The words looked for in every script.
@@ -48,6 +49,13 @@ def keyword_lines(
     )
 
 
+def keyword_table_lines(lines: DataFrame, keywords: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """``keyword_lines`` for a table of keywords, of one column and any number of rows."""
+    found = find_words(lines, keywords, "line", case_sensitive)
+    rest = [c for c in lines.columns if c != "line"]
+    return found.select(*rest, F.col("word").alias("keyword"), strip(F.col("line")).alias("line"))
+
+
 def job_word(line: Column) -> Column:
     """The job word of a line; the longer one contains the shorter one, so it is tried first."""
     longer, shorter = JOB_WORDS
