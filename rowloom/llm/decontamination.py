@@ -7,7 +7,8 @@ around each hit the words are compared on the same diagonal, and a hit counts if
 agree in ``AGREE`` places.
 
 Words are lower-case with everything but letters and digits removed, so punctuation and case do not matter.
-Everything is column expressions; the documents are not shuffled while the benchmark's seeds are below ``SEED_ROWS``.
+Everything is column expressions; the documents are not shuffled while the benchmark's seeds are below ``SEED_ROWS``.  Beyond that
+each seed goes to the join with the ``SPAN + 3`` words around it, so what is shuffled grows with the words of the documents.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import BETWEEN, bounded, kept, table, text_of
+from rowloom.llm.common import BETWEEN, kept, table, text_of
 
 #: Together they hit every twelve words of which any two are substituted.
 MASKS = ("110110101", "111010011", "100110111")
 SEED = len(MASKS[0])
 #: Words of a verified passage, and how many of them must agree.
 SPAN, AGREE = 12, 10
+#: Words of a document that a hit is verified on: a passage holds the whole seed, so it starts up to three words earlier.
+AROUND = 2 * SPAN - SEED
 #: Seeds of the benchmark up to which they are broadcast, about 40 bytes each plus the words of their items.
 SEED_ROWS = 400_000
 
@@ -46,6 +49,12 @@ def seeds(df: DataFrame, place: str) -> DataFrame:
     return windows.select("*", F.explode(F.array(*hashed)).alias("seed"))
 
 
+def around() -> dict[str, Column]:
+    """``near``, the words around ``place``, where they start, and ``n_words``."""
+    start = F.greatest(F.col("place") + (SEED - SPAN), F.lit(0))
+    return {"near": F.slice("words", start + 1, AROUND), "near_at": start, "n_words": F.size("words")}
+
+
 def passages() -> Column:
     """The best run of ``SPAN`` words around a hit as an array of (n, at), empty if too few of them agree.
 
@@ -56,7 +65,7 @@ def passages() -> Column:
     first = SEED - SPAN
 
     def agree(k: Column) -> Column:
-        same = F.get("words", F.col("place") + k) == F.get("item_words", F.col("at") + k)
+        same = F.get("near", F.col("place") - F.col("near_at") + k) == F.get("item_words", F.col("at") + k)
         return F.coalesce(same.cast("int"), F.lit(0))
 
     def run(a: Column) -> Column:
@@ -68,6 +77,28 @@ def passages() -> Column:
     return F.filter(F.array(best), lambda x: x["n"] >= needed)
 
 
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """``find_leaks`` for each text of an id, told apart by ``digest``."""
+    items = benchmark.select(
+        F.col(item_col).alias("item_id"), plain_words(text_of(item_text_col)).alias("words")
+    ).distinct()
+    tests = kept(
+        seeds(items, "at").select("seed", "item_id", "at", F.col("words").alias("item_words")).distinct(), "leak-seeds"
+    )
+    text = text_of(text_col)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), plain_words(text).alias("words"))
+    windows = seeds(texts, "place")
+    if tests.limit(SEED_ROWS + 1).count() <= SEED_ROWS:
+        hits = windows.join(F.broadcast(tests), "seed").withColumns(around())
+    else:
+        hits = windows.withColumns(around()).drop("words").join(tests, "seed")
+    found = hits.select("doc_id", "digest", "item_id", "place", "n_words", F.explode(passages()).alias("passage"))
+    first_word = F.col("place") + F.col("passage.at")
+    first = F.greatest(first_word, F.lit(0))
+    last = F.least(first_word + SPAN, F.col("n_words")) - 1
+    return found.groupBy("doc_id", "digest", "item_id").agg(F.min(first).alias("first_word"), F.max(last).alias("last_word"))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -83,21 +114,10 @@ def find_leaks(
     never match.  Null texts count as empty.  Null ids are ids like others.  Repeated rows give one row together.  Empty tables give no rows.
     Other columns are not read.
     """
-    items = benchmark.select(
-        F.col(item_col).alias("item_id"), plain_words(text_of(item_text_col)).alias("words")
-    ).distinct()
-    tests = kept(
-        seeds(items, "at").select("seed", "item_id", "at", F.col("words").alias("item_words")).distinct(), "leak-seeds"
-    )
-    texts = docs.select(F.col(id_col).alias("doc_id"), plain_words(text_of(text_col)).alias("words"))
-    hits = seeds(texts, "place").join(bounded(tests, SEED_ROWS), "seed")
-    found = hits.select(
-        "doc_id", "item_id", "place", F.size("words").alias("n_words"), F.explode(passages()).alias("passage")
+    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    return found.groupBy("doc_id", "item_id").agg(
+        F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word")
     )
-    first_word = F.col("place") + F.col("passage.at")
-    first = F.greatest(first_word, F.lit(0))
-    last = F.least(first_word + SPAN, F.col("n_words")) - 1
-    return found.groupBy("doc_id", "item_id").agg(F.min(first).alias("first_word"), F.max(last).alias("last_word"))
 
 
 def leaks_by_document(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **named: str) -> DataFrame:
@@ -109,11 +129,19 @@ def leaks_by_document(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     )
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **named: str) -> DataFrame:
-    """The rows of ``docs`` that share no passage with the benchmark."""
-    leaked = find_leaks(docs, benchmark, id_col, **named).select(F.col("doc_id").alias("leaked_id")).distinct()
-    leaked = kept(leaked, "leaked")
-    return docs.join(leaked, docs[id_col].eqNullSafe(leaked["leaked_id"]), "left_anti")
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that share no passage with the benchmark; other texts under the id of one that does stay."""
+    found = _leaks(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    leaked = kept(found.select(F.col("doc_id").alias("leaked_id"), "digest").distinct(), "leaked")
+    same = docs[id_col].eqNullSafe(leaked["leaked_id"]) & (F.xxhash64(text_of(text_col)) == leaked["digest"])
+    return docs.join(leaked, same, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
