@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rowloom.llm import simhash
 from rowloom.llm.components import components
-from tests.llm.fixtures import empty_docs, fingerprint, groups, odd_docs, odd_texts
+from tests.llm.fixtures import empty_docs, fingerprint, groups, odd_docs, odd_texts, sentence
 
 
 def test_golay_indices_are_shared_within_two_bits():
