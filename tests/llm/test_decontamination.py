@@ -1,6 +1,7 @@
 import itertools
 import random
 
+from rowloom.llm import decontamination
 from rowloom.llm.decontamination import AGREE, MASKS, SPAN, find_leaks, leaks_by_document, without_leaks
 from tests.llm.fixtures import empty_docs, odd_docs, odd_texts, sentence
 
@@ -60,6 +61,35 @@ def test_case_and_punctuation(spark):
     assert [(r.doc_id, r.items) for r in leaks_by_document(docs, bench).collect()] == [(1, [7])]
 
 
+def test_both_routes_agree(spark, monkeypatch):
+    """Beyond the bound seeds are shuffled with the words around them; passages at both ends of a text are found."""
+    rng = random.Random(8)
+    items = [(i, sentence(rng, 30)) for i in range(6)]
+    docs = []
+    for d in range(80):
+        passage = rng.choice(items)[1].split()
+        cut = rng.randint(0, 18)
+        words = passage[cut : cut + rng.randint(10, 20)]
+        words[rng.randrange(len(words))] = "other"
+        docs.append((d % 70, " ".join([*sentence(rng, d % 7).split(), *words, *sentence(rng, d % 5).split()])))
+    given = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    broadcast = sorted(map(tuple, find_leaks(*given).collect()))
+    rest = sorted(map(tuple, without_leaks(*given).collect()))
+    monkeypatch.setattr(decontamination, "SEED_ROWS", 0)
+    assert sorted(map(tuple, find_leaks(*given).collect())) == broadcast and len(broadcast) > 40
+    assert sorted(map(tuple, without_leaks(*given).collect())) == rest
+
+
+def test_only_the_leaking_text_of_an_id_goes(spark):
+    rng = random.Random(9)
+    item, clean = sentence(rng, 30), sentence(rng, 30)
+    rows = [(None, item), (None, clean), (1, clean), (1, f"{clean} {item}"), (2, clean), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = without_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    want = [(None, clean), (1, clean), (2, clean), (None, None)]
+    assert sorted(map(tuple, left), key=repr) == sorted(want, key=repr)
+
+
 def test_odd_rows(spark):
     passage = next(t for d, t, *_ in odd_texts() if d == 8)[-150:]
     bench = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, ""), (None, passage)], "item_id long, text string")

@@ -59,3 +59,47 @@ def test_odd_rows(spark):
     assert all(r["size"] == "clash" for r in found)
     assert {r.score for r in qc.classify(odd_docs(spark), labels(spark, [])).collect()} == {0.5}
     assert qc.classify(empty_docs(spark), labels(spark)).collect() == []
+
+
+def test_scores_of_the_query_against_a_plain_loop(spark):
+    """Training and scoring of the whole query, number by number, with nothing but dictionaries."""
+    import math
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    known = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if r.quality in (0, 1) and r.doc_id in texts and crc32(str(r.doc_id).encode()) % 5:
+            known.setdefault(r.doc_id, []).append(r.quality)
+    order = sorted(known, key=lambda d: (crc32(f"order {d}".encode()), d))
+    assert 10 < len(order) < qc.SHARD_ROWS
+
+    def of(text):
+        places, values = qc.features(text)
+        return [(int(p), float(np.float32(v))) for p, v in zip(places, values, strict=True)]
+
+    rows = [(of(texts[d]), int(sum(known[d]) / len(known[d]) >= 0.5)) for d in order]
+    z, n = {}, {}
+
+    def weight(p):
+        if abs(z.get(p, 0.0)) <= qc.L1:
+            return 0.0
+        sign = math.copysign(1, z[p])
+        return -(z[p] - sign * qc.L1) / ((qc.BETA + math.sqrt(n[p])) / qc.ALPHA + qc.L2)
+
+    for _ in range(max(qc.PASSES, min(qc.MOST_PASSES, qc.STEPS // len(rows)))):
+        for given, label in rows:
+            w = [weight(p) for p, _ in given]
+            margin = sum(a * v for a, (_, v) in zip(w, given, strict=True))
+            chance = 1 / (1 + math.exp(-min(max(margin, -35), 35)))
+            for a, (p, v) in zip(w, given, strict=True):
+                g = (chance - label) * v
+                before = n.get(p, 0.0)
+                z[p] = z.get(p, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / qc.ALPHA * a
+                n[p] = before + g * g
+    got = {r.doc_id: r for r in qc.query(spark, folder).collect()}
+    assert set(got) == set(texts)
+    for d, text in texts.items():
+        want = 1 / (1 + math.exp(-min(max(sum(weight(p) * v for p, v in of(text)), -35), 35)))
+        assert abs(got[d].score - want) < 1e-4, d
+        assert abs(want - 0.3) < 1e-4 or got[d].predicted == (want >= 0.3)
