@@ -35,8 +35,8 @@ from rowloom.llm.common import kept, table, text_of
 
 #: Bytes of a repeated string, and of an anchor.
 LENGTH, ANCHOR = 50, 16
-#: Bytes of text for which there is one block; its segments hold about four times as much.
-BLOCK_BYTES = 2 << 20
+#: Bytes of segments with a shared anchor for which there is one block.
+BLOCK_BYTES = 3 << 19
 #: Bytes of text that a task cuts at once.
 PART_BYTES = 16 << 20
 #: Occurrences from which an anchor is taken out of the blocks, and the share of ids this is estimated from.
@@ -44,6 +44,8 @@ HOT, SAMPLED = 50_000, 64
 #: Never part of UTF-8: stands between segments.
 SEPARATOR = 0xFF
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Longer than any string.
+FAR = 1 << 40
 
 
 def segments(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,13 +108,54 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+def _shared_bytes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """How many of its first eight bytes each suffix in ``order`` shares with the one before; none for the first."""
+    padded = np.concatenate([text, np.full(8, SEPARATOR, np.uint8)])
+    key = np.ndarray(len(text), ">u8", padded, strides=(1,)).astype(np.uint64)[order]
+    differ = key[1:] ^ key[:-1]
+    shared = np.zeros(len(text), np.int8)
+    for n in range(1, 9):
+        shared[1:] += differ < np.uint64(1 << (64 - 8 * n)) if n < 8 else differ == 0
+    return shared
+
+
+def boundaries(
+    text: np.ndarray, order: np.ndarray, length: int, owners: np.ndarray | None = None, depths: np.ndarray | None = None
+) -> np.ndarray:
     """For each place in ``order`` whether it shares fewer than ``length`` bytes with the one before.
 
     The intervals of one string length are extended by all bytes before them together.  The last occurrence of a byte in an
-    interval leads to the right end of the longer string's interval, the first one to its left end.
+    interval leads to the right end of the longer string's interval, the first one to its left end.  The first eight bytes
+    are compared directly; the expansion starts with the strings of eight bytes.
+
+    With ``owners``, the document of each place in ``text``, an interval of one document alone is not extended: no string that
+    ends in its string is in another document.  The length of its string goes to ``depths``, by place in ``text``, where that is
+    shorter.  Boundaries between strings of fewer documents than two may then be missing, behind which ``depths`` tells them.
     """
-    n = len(text)
+    n, first = len(text), min(8, length)
+    shared = _shared_bytes(text, order)
+    known = np.append(shared < first, True)
+    known[0] = True
+    if owners is not None:
+        of = owners[order]
+        change = np.maximum.accumulate(np.where(np.append(True, of[1:] != of[:-1]), np.arange(n), 0))
+
+    def several(left: np.ndarray, right: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if owners is None:
+            return left, right
+        alone = change[right] <= left
+        places = order[_ranges(left[alone], right[alone] - left[alone] + 1)]
+        depths[places] = np.minimum(depths[places], size)
+        return left[~alone], right[~alone]
+
+    left = np.flatnonzero(known[:n])
+    left, right = several(left, np.append(left[1:], n) - 1, first)
+    if first == length:
+        return known[:n]
+    # Only ends that this length has set: the others belong to shorter strings.
+    fresh = np.append(shared, 0)[right + 1] == first - 1
+    fresh &= right + 1 < n
+    left, right = left[fresh], right[fresh]
     before = text[order - 1]
     # The text ends with a separator, so the first suffix too has a byte before it: texts are taken as a ring.
     by_byte = np.argsort(before, kind="stable")
@@ -122,10 +165,9 @@ def boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     later, earlier = np.full(n, n, np.int64), np.full(n, -1, np.int64)
     later[by_byte[:-1][same]] = by_byte[1:][same]
     earlier[by_byte[1:][same]] = by_byte[:-1][same]
-    known = np.zeros(n + 1, bool)
-    known[n] = known[0] = True
-    left, right = np.array([0]), np.array([n - 1])
-    for _ in range(length):
+    for size in range(first + 1, length + 1):
+        if not len(left):
+            break
         sizes = right - left + 1
         at = _ranges(left, sizes)
         ends = leads[at[later[at] > np.repeat(right, sizes)]]
@@ -135,8 +177,7 @@ def boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
         new = ~known[ends + 1]
         left, right = starts[new], ends[new]
         known[right + 1] = True
-        if not len(left):
-            break
+        left, right = several(left, right, size)
     return known[:n]
 
 
@@ -166,11 +207,16 @@ def repeated_in_block(
     joined = np.frombuffer(b"\xff".join([*number, b""]), np.uint8)
     lengths = np.fromiter(map(len, number), np.int64, len(number))
     order = suffix_order(joined, length)
-    fewer = boundaries(joined, order, length)
-    # The smallest document of each class of strings; strings that reach the end of a segment are none.
     owners = np.repeat(owner, lengths + 1)
+    depths = np.full(len(joined), FAR, np.int64)
+    fewer = boundaries(joined, order, length, owners, depths)
+    # Strings that reach the end of a segment are none.  Nor is one that holds a string of one document alone: its
+    # end lies at the smallest end of such strings from its start on.
     within = _ranges(np.zeros(len(lengths), np.int64), lengths + 1)
-    whole = within + length <= np.repeat(lengths, lengths + 1)
+    places = np.arange(len(joined))
+    alone = np.minimum.accumulate((depths + places)[::-1])[::-1] - places <= length
+    whole = (within + length <= np.repeat(lengths, lengths + 1)) & ~alone
+    # The smallest document of each class of strings.
     seen = np.where(whole, owners, np.iinfo(np.int64).max)[order]
     classes = np.flatnonzero(fewer)
     smallest = np.empty(len(joined), np.int64)
@@ -285,10 +331,12 @@ def shared_anchors(docs: DataFrame, length: int, blocks: int, apart: np.ndarray)
 def repeated_stretches(docs: DataFrame, length: int = LENGTH, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, start, end`` in bytes of repeated stretches of ``docs`` (doc_id, text), overlapping and in no order."""
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(8, -(-total // block_bytes))
     apart = np.array(sorted(hot_anchors(docs, length, hot)), np.uint64)
     # Anchors are a few bytes each, so their blocks may hold those of more text.
-    shared = shared_anchors(docs, length, max(8, blocks // 4), apart)
+    shared = kept(shared_anchors(docs, length, max(8, total // (5 * block_bytes)), apart), "shared-anchors")
+    # A segment is a string and the places its anchor stays the smallest, half a window on average.
+    segment = length + (length - ANCHOR) // 2
+    blocks = max(8, -(-(shared.agg(F.sum(F.size("anchors"))).first()[0] or 0) * segment // block_bytes))
     texts = docs.join(shared, F.col("doc_id") == F.col("shared_id")).select("doc_id", "text", "anchors")
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -37,6 +37,35 @@ def test_boundaries_are_common_prefixes():
                 assert a <= b and fewer[i] == (a != b)
 
 
+def test_dropping_intervals_of_one_document_changes_no_result():
+    """Classes of strings of several documents are the same with and without the documents' own intervals."""
+    rng = np.random.default_rng(1)
+    for trial in range(150):
+        length = int(rng.integers(2, 20))
+        texts = [rng.integers(97, 99 + trial % 3, rng.integers(1, 60)).astype(np.uint8) for _ in range(rng.integers(1, 12))]
+        texts += [texts[0][: rng.integers(0, 60)] for _ in range(trial % 3)]
+        joined = np.concatenate([np.append(t, np.uint8(sd.SEPARATOR)) for t in texts])
+        owners = np.repeat(rng.integers(0, 4, len(texts)), [len(t) + 1 for t in texts])
+        order = sd.suffix_order(joined, length)
+        depths = np.full(len(joined), sd.FAR, np.int64)
+        fewer = sd.boundaries(joined, order, length, owners, depths)
+        places = np.arange(len(joined))
+        alone = np.minimum.accumulate((depths + places)[::-1])[::-1] - places <= length
+        raw, holders = joined.tobytes(), {}
+        for i in range(len(raw) - length + 1):
+            if b"\xff" not in raw[i : i + length]:
+                holders.setdefault(raw[i : i + length], set()).add(owners[i])
+        seen, classes = {}, np.cumsum(fewer)
+        for c, i in zip(classes.tolist(), order.tolist(), strict=True):
+            string = raw[i : i + length]
+            if string not in holders:
+                continue
+            # A string of one document is told alone or has a class of its own; one of several never is told alone.
+            assert not (alone[i] and len(holders[string]) > 1)
+            if not alone[i]:
+                assert seen.setdefault(c, string) == string
+
+
 def test_segments_hold_every_string_once():
     rng = random.Random(1)
     for n in (0, 49, 50, 51, 64, 3000):
