@@ -191,6 +191,9 @@ class Warehouse:
     def documents(self) -> DataFrame:
         return self.base("documents").select("doc_id", "text")
 
+    def benchmark(self) -> DataFrame:
+        return self.base("benchmark").select("item_id", "text")
+
     def scripts(self) -> DataFrame:
         """One script per document: its text as a comment block, then a templated body."""
         body = F.expr(SCRIPT_BODY)

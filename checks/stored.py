@@ -74,11 +74,13 @@ def partitions_changed(w: Warehouse) -> DataFrame:
 
 
 def truncated(w: Warehouse) -> DataFrame:
-    """What a truncated table still has: its columns, and no row."""
+    """Rows of each country before a table is truncated and after."""
     table, path = _written(w, "customer_staging")
     tables.truncate(table, path)
-    left = w.spark.read.parquet(path)
-    return left.agg(F.count(F.lit(1)).alias("n"), F.lit(",".join(sorted(left.columns))).alias("columns"))
+    after = w.spark.read.parquet(path).groupBy("country").agg(F.count(F.lit(1)).alias("after_rows"))
+    before = w.customer_staging().groupBy("country").agg(F.count(F.lit(1)).alias("before_rows"))
+    both = before.join(after, "country", "left")
+    return both.select("country", "before_rows", F.coalesce("after_rows", F.lit(0)).alias("after_rows"))
 
 
 def csv_read_back(w: Warehouse) -> DataFrame:

@@ -9,6 +9,7 @@ OTHERS = {
     "customer_master_dup": SCHEMAS["customer_master"],
     "scripts": "dir_file string, content string",
     "documents": "doc_id bigint, text string",
+    "benchmark": "item_id bigint, text string",
 }
 
 
