@@ -19,7 +19,7 @@ from rowloom.operators.joins import keys_of
 from rowloom.sources.commits import Change
 from rowloom.sources.tables import write_partitioned
 
-#: The column that tells the file of a row, for ``touched``.
+#: The column that tells the file of a row, for ``touched``: a number made of its name.
 FILE = "__file"
 
 
@@ -39,10 +39,20 @@ def rows_with(keys: DataFrame) -> Callable[[DataFrame], DataFrame]:
 def files_of(table: DataFrame, touched: Column | Callable[[DataFrame], DataFrame]) -> list[str]:
     """The full names of the files of ``table`` that hold a row of ``touched``: a condition, or a function from the
     table, with the column ``__file``, to its rows that may change.  The list is names, never rows.
+
+    The function joins as a rule, and a name in each row is most of what a join holds; so its rows carry the hash of the
+    name, and a second look, at these files alone and at none of their columns, tells the names.  Names of one
+    hash come together, which names more files and never fewer.
     """
-    marked = table.withColumn(FILE, F.col("_metadata.file_path"))
-    found = marked.filter(touched) if isinstance(touched, Column) else touched(marked)
-    return sorted(r[0] for r in found.select(FILE).distinct().collect())
+    name = F.col("_metadata.file_path")
+    if isinstance(touched, Column):
+        found = table.filter(touched)
+    else:
+        numbers = touched(table.withColumn(FILE, F.xxhash64(name))).select(FILE).distinct().collect()
+        if not numbers:
+            return []
+        found = table.filter(F.xxhash64(name).isin([r[0] for r in numbers]))
+    return sorted(r[0] for r in found.select(name).distinct().collect())
 
 
 def change_files(
