@@ -1,42 +1,70 @@
 """Which of many words stand in which texts: a table of words against a table of texts.
 
-A text holds a word exactly if it holds the word's grams, its runs of ``GRAM`` letters.  Each word is indexed by one of its grams, the
-one that is rarest in a sample of the texts.  The grams of every text meet that index in a join, and the few words that come back
-are verified by ``contains``.  A text is read once whatever the number of words; the sample only decides
-which gram a word is found by, never the result.  The index is a kept table, so Spark knows its size and broadcasts what is small.
+A word is indexed by one of its grams, its runs of ``GRAM`` letters, the one that is rarest in a sample of the texts.  The grams at
+every place of every text meet that index in a join; where one is met, the word is compared with the letters around it, and it counts
+if it stands there for the first time in the text, so a pair comes once without being gathered.  A text is read once
+whatever the number of words; the sample only decides which gram a word is found by, never the result.  The index is a kept
+table, so Spark knows its size and broadcasts what is small.
+
+Texts are cut into pieces first, since to find a letter by its number Spark counts from the beginning of a string.  All
+that runs for each place is compiled with the join, so a text is not copied for its places.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowloom.operators.joins import keys_of
 from rowloom.sources.tables import kept
 
-#: Letters of a gram, the share of texts that is sampled.
-GRAM, SHARE = 4, 0.01
+#: Letters of a gram, places of a piece, the share of texts that is sampled.
+GRAM, PIECE, SHARE = 4, 32, 0.01
 SEED = 42
 
 
-def _grams(text: Column, size: Column | int) -> Column:
-    """The distinct runs of ``size`` letters, none if the text is shorter."""
-    n = F.lit(size) if isinstance(size, int) else size
-    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
-    return F.array_distinct(F.transform(places, lambda at: F.substring(text, at, n)))
+def _places(texts: DataFrame, sizes: Sequence[int], around: int) -> DataFrame:
+    """``texts`` once for each place of ``__text`` and size of gram, with ``__gram``; the ``__piece`` of the text that has at
+    least ``around`` letters on both sides, as far as there are any; the place in it, ``__in``, from 1; and the text ``__before`` the
+    places of the piece.
+    """
+    filled = F.concat(F.lit(" " * around), F.col("__text"))
+    most = PIECE + 2 * around + GRAM
+    pieces = F.regexp_extract_all(filled, F.lit(f"(?s)(?=(.{{1,{most}}})).{{1,{PIECE}}}"), F.lit(1))
+    cut = texts.select("*", F.posexplode_outer(pieces).alias("__number", "__filled"))
+    begin = F.col("__number") * PIECE
+    fill = F.greatest(F.lit(around) - begin, F.lit(0))
+    cut = cut.withColumns({
+        "__own": F.substring("__filled", around + 1, PIECE + GRAM - 1),
+        "__piece": F.substring(F.col("__filled"), fill + 1, F.lit(most)),
+        "__left": F.lit(around) - fill,
+        "__before": F.left("__text", begin),
+    })
+    size = F.length("__own")
+    numbers = F.when(size > 0, F.sequence(F.lit(1), F.least(size, F.lit(PIECE))))
+    each = cut.select("*", F.explode_outer(numbers).alias("__n"))
+    each = each.withColumn("__run", F.substring(F.col("__own"), F.col("__n"), F.lit(sizes[-1])))
+    # A run that the end of the text cuts short is none.
+    grams = [F.when(F.length("__run") >= n, F.left("__run", F.lit(n))) for n in sizes]
+    each = each.withColumn("__in", F.col("__n") + F.col("__left"))
+    return each.select(*texts.columns, "__piece", "__in", "__before", F.explode_outer(F.array(*grams)).alias("__gram"))
 
 
-def _index(words: DataFrame, texts: DataFrame, sizes: list[int], share: float) -> DataFrame:
-    """``word, look, gram``: each word under one gram."""
+def _index(words: DataFrame, texts: DataFrame, sizes: Sequence[int], share: float) -> DataFrame:
+    """``look, words, gram, place``: each word under one gram and the gram's place in it, with the ways it is written."""
     size = F.least(F.length("look"), F.lit(GRAM))
-    each = words.select("word", "look", F.explode(_grams(F.col("look"), size)).alias("gram"))
-    every = F.flatten(F.array(*[F.coalesce(_grams(F.col("look"), n), F.array().cast("array<string>")) for n in sizes]))
-    sampled = texts.sample(share, SEED).select(F.explode(every).alias("gram"))
-    seen = sampled.join(keys_of(each, "gram"), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
-    shared = each.groupBy("gram").agg(F.count(F.lit(1)).alias("words"))
+    looks = words.groupBy("look").agg(F.collect_list("word").alias("words"))
+    each = looks.select("*", F.explode(F.sequence(F.lit(1), F.length("look") - size + 1)).alias("place"))
+    each = each.withColumn("gram", F.substring(F.col("look"), F.col("place"), size))
+    sampled = _places(texts.sample(share, SEED), sizes, 0).select(F.col("__gram").alias("gram"))
+    seen = sampled.join(keys_of(each, "gram"), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("places"))
+    shared = each.groupBy("gram").agg(F.count(F.lit(1)).alias("looks"))
     rated = each.join(shared, "gram").join(seen, "gram", "left")
-    order = F.struct(F.coalesce("texts", F.lit(0)), "words", "gram")
-    return rated.groupBy("word", "look").agg(F.min_by("gram", order).alias("gram"))
+    order = F.struct(F.coalesce("places", F.lit(0)), "looks", "gram", "place")
+    best = rated.groupBy("look").agg(F.first("words").alias("words"), F.min(order).alias("best"))
+    return best.select("look", "words", "best.gram", "best.place")
 
 
 def find_words(
@@ -54,15 +82,19 @@ def find_words(
 
     known = words.filter(F.length(column) > 0).select(F.col(column).alias("word")).distinct()
     known = known.withColumn("look", look(F.col("word")))
-    # At most ``GRAM`` numbers: the lengths of grams that occur.
-    rows = known.select(F.least(F.length("look"), F.lit(GRAM)).alias("n")).distinct().collect()
-    sizes = sorted(r["n"] for r in rows)
+    # At most ``GRAM`` rows: the lengths of grams that occur, and of the longest word.
+    rows = known.groupBy(F.least(F.length("look"), F.lit(GRAM)).alias("n")).agg(F.max(F.length("look")).alias("most")).collect()
+    sizes, around = sorted(r["n"] for r in rows), max((r["most"] for r in rows), default=0)
     given = texts.filter(F.col(text_col).isNotNull())
     if not sizes:
         return given.limit(0).withColumn("word", F.lit(None).cast("string"))
-    index = kept(_index(known, given.select(look(F.col(text_col)).alias("look")), sizes, share), "word-index")
-    text = look(F.col(text_col))
-    every = F.flatten(F.array(*[F.coalesce(_grams(text, n), F.array().cast("array<string>")) for n in sizes]))
-    # A gram comes once from a text and a word has one gram, so a pair comes once.
-    met = given.withColumn("__gram", F.explode(every)).join(index, F.col("__gram") == F.col("gram"))
-    return met.filter(F.contains(text, F.col("look"))).drop("__gram", "gram", "look")
+    text = look(F.col(text_col)).alias("__text")
+    index = kept(_index(known, given.select(text), sizes, share), "word-index")
+    met = _places(given.select("*", text), sizes, around).join(index, F.col("__gram") == F.col("gram"))
+    start = F.col("__in") - F.col("place") + 1
+    stands = F.substring(F.col("__piece"), start, F.length("look")) == F.col("look")
+    stands = (start > 0) & ((F.col("gram") == F.col("look")) | stands)
+    # One that stood earlier lies before the places of this piece, or reaches into them and so lies in the piece.
+    first = (F.instr(F.col("__piece"), F.col("look")) == start) & ~F.contains(F.col("__before"), F.col("look"))
+    found = met.filter(F.when(stands, first).otherwise(False))
+    return found.select(*texts.columns, F.explode("words").alias("word"))

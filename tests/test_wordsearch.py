@@ -1,6 +1,7 @@
 """Many words in many texts, against the plain search."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,28 @@ def test_ten_thousand_words_in_one_pass(spark, tmp_path):
     assert {(i, hashlib.md5(str(n).encode()).hexdigest()[2:11]) for i, n in want} <= found
 
 
+def test_one_very_long_line(spark):
+    """A letter is not looked up by its number in the whole text: that took minutes here."""
+    body = "abcdefg hij " * 20_000
+    line = f"first{body}middle word{body}last"
+    texts = spark.createDataFrame([(1, line), (2, "Last")], "n int, line string")
+    words = ["first", "FIRSTab", "middle word", "dle wo", "g hij a", "ast", "last", "t", "j m", "none", "lasts", " " * 40, "g hij abc" * 20]
+    began = time.monotonic()
+    found = wordsearch.find_words(texts, spark.createDataFrame([(w,) for w in words], "w string")).select("n", "word").collect()
+    assert time.monotonic() - began < 100
+    assert sorted(map(tuple, found)) == sorted((n, w) for n, t in ((1, line), (2, "last")) for w in words if w.lower() in t)
+
+
+def test_words_over_the_ends_of_pieces(spark):
+    """A pair comes once, also if a word stands again where another piece begins, or begins with what a text is filled up with."""
+    whole = ["𝄞é" * 10 + " " * n + " ab cd ef" * 9 + " ab" for n in range(8, 50, 3)]
+    texts = [(n, t) for n, t in enumerate([*whole, *[t[n + 20 :] for n, t in enumerate(whole)], "ab cd"])]
+    words = [" ab", "ab", " ab cd ef", "cd ef ab cd", "é ", "𝄞é𝄞", " ", "  ", " ab cd ef" * 9, "  ab"]
+    table = spark.createDataFrame([(w,) for w in words], "w string")
+    found = wordsearch.find_words(spark.createDataFrame(texts, "n int, line string"), table, case_sensitive=True)
+    assert sorted(tuple(r) for r in found.collect()) == plain(texts, words, True)
+
+
 def test_the_same_as_keyword_lines(spark):
     df = spark.createDataFrame([("f", " a Default key_mst "), ("g", "none"), ("f", "DEFAULT")], "dir_file string, line string")
     few = lines.keyword_lines(df).select("dir_file", "keyword", "line").collect()
