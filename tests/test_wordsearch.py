@@ -105,3 +105,74 @@ def test_the_same_as_keyword_lines(spark):
     few = lines.keyword_lines(df).select("dir_file", "keyword", "line").collect()
     words = spark.createDataFrame([(w,) for w in lines.KEYWORDS], "w string")
     assert sorted(few) == sorted(lines.keyword_table_lines(df, words).select("dir_file", "keyword", "line").collect())
+
+
+@pytest.mark.parametrize(
+    "case_sensitive, share, alone, most", [(False, 0.0, 256, 64), (True, 0.2, 0, 64), (False, 0.2, 256, 2), (False, 1.0, 256, 64), (True, 1.0, 1, 2)]
+)
+def test_texts_of_tokens(spark, monkeypatch, case_sensitive, share, alone, most):
+    """Words stand in common tokens, in others, in long ones and in most texts; a pair comes once whichever way it is found."""
+    monkeypatch.setattr(wordsearch, "ALONE", alone)
+    monkeypatch.setattr(wordsearch, "MOST", most)
+    rng = random.Random(5)
+    tokens = ["".join(rng.choices("abcdeABé", k=rng.choice([1, 2, 3, 5, 9]))) for _ in range(150)]
+    tokens += ["ab" * 40 + "cd", "e" * 70, "a" * 33 + "é" + "b" * 40]
+    texts = [(n, "".join(rng.choice(tokens) + rng.choice([" ", ". ", "\n", "\x00", "--", "ß", "7"]) for _ in range(rng.choice([0, 1, 8, 40])))) for n in range(120)]
+    texts += [(200, None), (201, ""), (202, " . "), (203, tokens[0]), (203, tokens[0]), (204, "\x00ab\x00\x00AB")]
+    words = ["".join(rng.choices("abcdeABé", k=rng.randint(1, 7))) for _ in range(300)] + ["a", "A", "e" * 65, "abcd", None, ""]
+    df = spark.createDataFrame(texts, "n int, line string").repartition(3)
+    got = wordsearch.find_words(df, spark.createDataFrame([(w,) for w in words], "w string"), "line", case_sensitive, share)
+    assert sorted(tuple(r) for r in got.collect()) == plain(texts, words, case_sensitive)
+
+
+def rows_made(df):
+    """The rows that each Generate of the executed plan made, from the last one to the first."""
+    df.collect()
+    made = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(node.plan())
+        if node.nodeName() == "Generate":
+            made.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return made
+
+
+def test_common_tokens_are_not_searched_again(spark, tmp_path):
+    """The search makes rows for the tokens of a text, not for each of its letters and sizes of gram."""
+    tokens = [f"{a}{b}{c}tion" for a in ("con", "re", "trans") for b in ("struc", "la", "forma") for c in ("", "ver")]
+    texts = [(n, " ".join(tokens[n % 5 :] * 2)) for n in range(2000)]
+    path = str(tmp_path / "texts")
+    spark.createDataFrame(texts, "n int, line string").write.parquet(path)
+    words = ["tion", "con", "format", "re", "la", "s", "verti", "none"]
+    table = spark.createDataFrame([(w,) for w in words], "w string")
+    got = wordsearch.find_words(spark.read.parquet(path), table, case_sensitive=True)
+    assert sorted(tuple(r) for r in got.collect()) == plain(texts, words, True)
+    assert max(rows_made(got)) < 2000 * 2 * len(tokens) < sum(len(t) for _, t in texts) / 5
+
+
+def test_one_file_is_searched_by_many_tasks(spark, tmp_path):
+    """A file of one row group is one task of the scan; the words are looked for in as many as the session deals."""
+    import __spark_entry__ as registered
+
+    docs = [(n if n % 9 else None, f"line {n}\nof ink {n % 7}\n\nInk" if n % 5 else None) for n in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    words = spark.createDataFrame([(1, "line ink, IN e 7"), (2, None), (3, "nowhere Ink")], "item_id int, text string")
+    words.write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = registered.queries()["l02_keyword_table"](spark, str(tmp_path))
+    found = {}
+    for i, t in docs:
+        for line in (t or "").split("\n") if t is not None else []:
+            for w in {"line", "ink", "IN", "e", "nowhere", "Ink"}:
+                if w.lower() in line.lower():
+                    found.setdefault(w, []).append(i)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((w, len(d), len({*d} - {None})) for w, d in found.items())
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "REPARTITION_BY_NUM" in plan
